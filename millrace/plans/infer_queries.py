@@ -26,11 +26,11 @@ def _messages(df: DataFrame, key: str) -> DataFrame:
 
 
 @query(
-    O.sql(f"""SELECT doc_id, unnest([0, 1]) AS pos, unnest(['system', 'user']) AS role, unnest([{O.lit(infer.CLEAN_SYSTEM)},
+    O.sql(f"""SELECT doc_id, CAST(unnest([0, 1]) AS BIGINT) AS pos, unnest(['system', 'user']) AS role, unnest([{O.lit(infer.CLEAN_SYSTEM)},
         'Record id: ' || id || chr(10) || 'Record: ' || CASE WHEN doc_id % 4 = 0 THEN 'none' ELSE
           '{{"id":"' || id || '","lang":"' || lang || '"}}' END || chr(10) || 'Tools used so far: ' || {_TOOLS_SQL} || chr(10) ||
         'Tools on offer: {", ".join([clean.LOOKUP_TOOL, *clean.LIST_TOOLS])}' || chr(10) || 'Current text:' || chr(10) ||
-        coalesce(nullif(content, ''), 'none')]) AS content FROM f_docs""").replace("unnest([0, 1])", "CAST(unnest([0, 1]) AS BIGINT)")
+        coalesce(nullif(content, ''), 'none')]) AS content FROM f_docs""")
 )
 def build_clean_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = F.array().cast("array<string>")
