@@ -7,8 +7,11 @@ what fails carries a reason, so one bad message or item never stops another.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.plan import once
 from millrace.functions.text import is_blank
@@ -50,81 +53,80 @@ def fan_out(decoded: DataFrame, *keep: str) -> DataFrame:
     return decoded.select(*keep, F.posexplode_outer("items").alias("item_pos", "item"))
 
 
-def _holds(item: Column, field: str, kind: str) -> Column:
-    path = f"$.{field}"
+FIELDS = {**REQUIRED_FIELDS, **OPTIONAL_FIELDS}
+VARIANT_STRUCT = "struct<" + ",".join(f"{name}:variant" for name in FIELDS) + ">"
+
+
+def _typed(name: str) -> Column:
+    given = F.col("top")[name]
+    spark_type, kind = FIELDS[name]
+    if kind == "instant":
+        return F.try_to_timestamp(F.try_variant_get(given, "$", "string"))
+    return F.try_variant_get(given, "$", spark_type)
+
+
+def _complete(value: Column, spark_type: T.DataType) -> Column:
+    """No null anywhere that the schema does not allow; every nested field is required."""
+    if isinstance(spark_type, T.StructType):
+        parts = [_complete(value[f.name], f.dataType) for f in spark_type.fields]
+        return reduce(lambda a, b: a & b, parts, value.isNotNull())
+    if isinstance(spark_type, T.ArrayType):
+        return value.isNotNull() & F.forall(value, lambda v: _complete(v, spark_type.elementType))
+    return value.isNotNull()
+
+
+def _valid(name: str) -> Column:
+    given, value = F.col("top")[name], F.col("typed")[name]
+    spark_type, kind = FIELDS[name]
     if kind == "string":
-        return F.schema_of_variant(F.try_variant_get(item, path, "variant")) == "STRING"
-    if kind == "int":
-        return F.try_variant_get(item, path, "int").isNotNull()
-    if kind == "boolean":
-        return F.try_variant_get(item, path, "boolean").isNotNull()
-    if kind == "array":
-        return F.try_variant_get(item, path, "array<variant>").isNotNull()
-    if kind == "object":
-        return F.try_variant_get(item, path, "map<string,variant>").isNotNull()
-    text = F.try_variant_get(item, path, "string")
-    return text.rlike(INSTANT) & F.try_to_timestamp(text).isNotNull()
-
-
-def missing_fields(item: Column) -> Column:
-    """Names of required fields that are absent or of the wrong kind, and of optional
-    fields that are present with the wrong kind."""
-    checks = [
-        F.when(F.coalesce(_holds(item, name, kind), F.lit(False)), F.lit(None).cast("string")).otherwise(F.lit(name))
-        for name, (_, kind) in REQUIRED_FIELDS.items()
-    ]
-    for name, (_, kind) in OPTIONAL_FIELDS.items():
-        given = F.try_variant_get(item, f"$.{name}", "variant")
-        absent = F.coalesce(F.is_variant_null(given), F.lit(True)) | given.isNull()
-        checks.append(
-            F.when(absent | F.coalesce(_holds(item, name, kind), F.lit(False)), F.lit(None).cast("string")).otherwise(
-                F.lit(name)
-            )
-        )
+        return F.schema_of_variant(given) == "STRING"
+    if kind == "instant":
+        return value.isNotNull() & F.try_variant_get(given, "$", "string").rlike(INSTANT)
+    whole = _complete(value, T.StructType.fromDDL(f"v {spark_type}")["v"].dataType)
+    if name in OPTIONAL_FIELDS:
+        return given.isNull() | F.is_variant_null(given) | whole
+    return whole
+
+
+def bad_fields() -> Column:
+    """Names of fields that are absent or of the wrong kind."""
+    checks = [F.when(~F.coalesce(_valid(name), F.lit(False)), F.lit(name)) for name in FIELDS]
     return F.array_compact(F.array(*checks))
 
 
-def enum_violations(item: Column) -> Column:
+def enum_violations(glassware: Column, ingredients: Column) -> Column:
     """``field=value`` for every enumerated value outside its declared set."""
 
-    def strings(path: str) -> Column:
-        return F.coalesce(F.try_variant_get(item, path, "array<string>"), F.array().cast("array<string>"))
-
     def outside(values: Column, field: str) -> Column:
         bad = F.filter(values, lambda v: v.isNull() | ~v.isin(*ENUMS[field]))
-        return F.transform(bad, lambda v: F.concat(F.lit(f"{field}="), F.coalesce(v, F.lit("null"))))
-
-    parts = F.coalesce(
-        F.try_variant_get(item, "$.ingredients", "array<variant>"), F.array().cast("array<variant>")
-    )
-    found = [outside(strings("$.glassware"), "glassware")]
+        found = F.transform(bad, lambda v: F.concat(F.lit(f"{field}="), F.coalesce(v, F.lit("null"))))
+        return F.coalesce(found, F.array().cast("array<string>"))
 
     def each(field: str) -> Column:
-        return F.transform(parts, lambda p: F.try_variant_get(p, f"$.{field}", "string"))
-
-    for field in ("uoM", "preparation", "requirement", "taxonomyFilterType"):
-        found.append(outside(each(field), field))
-    uses = F.flatten(
-        F.transform(
-            parts,
-            lambda p: F.coalesce(
-                F.try_variant_get(p, "$.applications", "array<string>"), F.array().cast("array<string>")
-            ),
-        )
+        return F.transform(ingredients, lambda i: i[field])
+
+    return F.concat(
+        outside(glassware, "glassware"),
+        *[outside(each(f), f) for f in ("uoM", "preparation", "requirement", "taxonomyFilterType")],
+        outside(F.flatten(each("applications")), "applications"),
     )
-    found.append(outside(uses, "applications"))
-    return F.concat(*found)
 
 
 def check_items(items: DataFrame) -> DataFrame:
-    """Add ``id``, ``reject_reason`` (null for a good item) and its detail."""
+    """Add ``id``, the typed record, and ``reject_reason`` (null for a good item).
+
+    An item is opened once into its fields, each field is cast once, and all checks
+    read the casts.  String fields must be JSON strings; nested text takes any scalar.
+    """
+    opened = once(items, top=F.try_variant_get("item", "$", VARIANT_STRUCT))
+    typed = once(opened, typed=F.struct(*[_typed(name).alias(name) for name in FIELDS]))
     checked = once(
-        items,
-        id=F.try_variant_get("item", "$.id", "string"),
-        is_object=F.try_variant_get("item", "$", "map<string,variant>").isNotNull(),
-        bad_fields=F.when(F.col("item").isNotNull(), missing_fields(F.col("item"))),
-        bad_values=enum_violations(F.col("item")),
-    )
+        typed,
+        id=F.col("typed.id"),
+        is_object=F.col("top").isNotNull(),
+        bad_fields=bad_fields(),
+        bad_values=enum_violations(F.col("typed.glassware"), F.col("typed.ingredients")),
+    ).drop("top")
     return checked.withColumn(
         "reject_reason",
         F.when(F.col("item").isNull(), "no_item")
@@ -146,9 +148,7 @@ def rejected(checked: DataFrame) -> DataFrame:
 
 def typed_records(checked: DataFrame, *keep: str) -> DataFrame:
     """Accepted items as typed record structs."""
-    return accepted(checked).select(
-        *keep, F.from_json(F.to_json(F.col("item")), RECORD_STRUCT).alias("record")
-    )
+    return accepted(checked).select(*keep, F.col("typed").alias("record"))
 
 
 def not_sentinel(df: DataFrame, column: str = "id") -> DataFrame:

@@ -230,8 +230,7 @@ def source_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
              FROM f_items WHERE json_type(item) = 'OBJECT'""")
 )
 def enum_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _items(spark, sf_dir).select(
-        "event_id",
-        F.col("item_pos").cast("long").alias("item_pos"),
-        F.explode(decode.enum_violations(F.col("item"))).alias("violation"),
+    checked = decode.check_items(_items(spark, sf_dir))
+    return checked.select(
+        "event_id", F.col("item_pos").cast("long").alias("item_pos"), F.explode("bad_values").alias("violation")
     )

@@ -46,13 +46,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of long texts, spread over all cores when its files give fewer splits.
+    return spread(table(spark, sf_dir, name))
 
-    Cleaning is bound by CPU, and a small file is one split.  A large table has more
-    splits than cores and is read as it is, with no shuffle.
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores when their files give fewer splits.
+
+    Cleaning and decoding are bound by CPU, and a small file is one split.  A large
+    table has more splits than cores and is read as it is, with no shuffle.
     """
-    rows = table(spark, sf_dir, name)
-    lanes = spark.sparkContext.defaultParallelism
+    lanes = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(lanes) if rows.rdd.getNumPartitions() < lanes else rows
 
 
@@ -109,7 +112,9 @@ EVENT_ITEM_SQL = """
 || '"],"rating":{"oneStars":0,"twoStars":0,"threeStars":0,"fourStars":0,"fiveStars":1,"totalStars":5,"rating":5.0,"ratingCount":1},"reactions":'
 || props || ',"searchableTitles":[],"tags":[],"collections":[],"hashtags":[],"ingredients":[{"id":"gin","name":"Gin","uoM":"'
 || CASE WHEN event_id % 17 = 3 THEN 'gallons' ELSE 'ounces' END
-|| '","requirement":"required","display":"2 oz gin","units":2.0,"preparation":"none","suggestions":"","types":[],"taxonomyFilterType":"spirits","applications":["base"]}],"instructions":[],"keywords":{},"recipeCuisine":"none","socialLinks":[],"extra":1}'
+|| '","requirement":"required","display":"2 oz gin","units":2.0,"preparation":"none","suggestions":"","types":[],"taxonomyFilterType":"spirits","applications":["base"]}],"instructions":[{"display":"Stir","order":1}],"keywords":{'
+|| '"keywordsBaseSpirit":["gin"],"keywordsSpiritSubtype":[],"keywordsFlavorProfile":[],"keywordsCocktailFamily":[],"keywordsTechnique":[],'
+|| '"keywordsSeason":[],"keywordsOccasion":[],"keywordsMood":[],"keywordsSearchTerms":[],"keywordsStrength":"light","keywordsTemperature":"cold"},"recipeCuisine":"none","socialLinks":[],"extra":1}'
 """
 EVENT_VALUE_SQL = """
 CASE WHEN event_id % 16 < 7 THEN '{"data":[' || item || ']}'
@@ -127,7 +132,7 @@ CASE WHEN event_id % 16 < 7 THEN '{"data":[' || item || ']}'
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change events as broker messages in all shapes, good and bad."""
     bad = F.unhex(F.lit("FF"))
-    stamped = events(spark, sf_dir).withColumn("iso", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    stamped = spread(events(spark, sf_dir)).withColumn("iso", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
     shaped = once(once(stamped, item=F.expr(EVENT_ITEM_SQL)), body=F.expr(EVENT_VALUE_SQL))
     tag = F.col("event_id").cast("string")
     header = lambda name, value: F.struct(F.lit(name).alias("key"), value.alias("value"))
