@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import chunks as C
@@ -57,9 +57,28 @@ def coverage_audit(source: DataFrame, rows: DataFrame, key: str, text: str = "te
     Both sides go through one tagged union and one aggregation, so counts are
     combined before the shuffle and no join meets a hot span.
     """
-    tagged = _span_keys(source, key, text).withColumn("in_source", F.lit(1)).unionByName(
-        _span_keys(rows, key, "content").withColumn("in_source", F.lit(0))
+    return _count_differences(
+        _span_keys(source, key, text)
+        .withColumn("in_source", F.lit(1))
+        .unionByName(_span_keys(rows, key, "content").withColumn("in_source", F.lit(0))),
+        key,
     )
+
+
+def coverage_audit_in_row(df: DataFrame, key: str, text: str, chunks: str = "chunks") -> DataFrame:
+    """The same audit where a row holds both its text and its chunks: one scan, one explode."""
+
+    def tagged(spans: Column, in_source: int) -> Column:
+        return F.transform(
+            spans, lambda s: F.struct(F.sha2(s, 256).alias("span_hash"), F.lit(in_source).alias("in_source"))
+        )
+
+    pieces = F.flatten(F.transform(chunks, lambda c: C.split_spans(c["content"])))
+    both = F.concat(tagged(C.split_spans(F.col(text)), 1), tagged(pieces, 0))
+    return _count_differences(df.select(key, F.inline(both)), key)
+
+
+def _count_differences(tagged: DataFrame, key: str) -> DataFrame:
     counts = tagged.groupBy(key, "span_hash").agg(
         F.sum("in_source").alias("n_source"), F.sum(1 - F.col("in_source")).alias("n_chunks")
     )

@@ -55,11 +55,16 @@ def resolve_items(items: DataFrame, dimension: DataFrame, item_key: str) -> Data
     return items.join(dimension, item_key, "left")
 
 
+def fold_copies(rows: DataFrame) -> DataFrame:
+    """Equal rows as one row with a number of copies, combined before the shuffle."""
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
 def nest_items(rows: DataFrame, key: str, order: list[str], fields: list[str], segment: Column) -> DataFrame:
-    """Ordered item lists, one per (record, segment).
+    """Ordered item lists, one per (record, segment), from rows whose copies are folded.
 
-    The segment must bound how many rows share it; a record with very many items then
-    gives several bounded lists instead of one cell of unbounded size.
+    A record with very many items gives several lists, one per stretch of positions,
+    instead of one cell of unbounded size; a line repeated without end is one entry.
     """
     return (
         rows.withColumn("segment", segment)

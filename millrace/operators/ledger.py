@@ -33,14 +33,15 @@ def newest_state(ledger: DataFrame) -> DataFrame:
 def stage_states(records: DataFrame, key: str) -> DataFrame:
     """All stage outcomes of a chained run in one pass, one row per record and stage reached.
 
-    ``records`` needs the columns text, chunks_ok and request_ok.  The stages of one
+    ``records`` needs the flags extracted, chunks_ok and request_ok.  The stages of one
     record are exploded from its own row, so the chain above is not run once per stage.
     """
+    read, cut = F.col("extracted"), F.col("chunks_ok")
     states = F.array_compact(
         F.array(
-            F.when(~is_blank(F.col("text")), _state("extraction", F.lit(True))),
-            F.when(~is_blank(F.col("text")), _state("chunking", F.col("chunks_ok"))),
-            F.when(~is_blank(F.col("text")) & F.col("chunks_ok"), _state("embedding", F.col("request_ok"))),
+            F.when(read, _state("extraction", F.lit(True))),
+            F.when(read, _state("chunking", cut)),
+            F.when(read & cut, _state("embedding", F.col("request_ok"))),
         )
     )
     return records.select(F.col(key).alias("id"), F.inline(states))

@@ -149,18 +149,21 @@ def search_statistics(hits: DataFrame, boost: float = HIT_BOOST) -> DataFrame:
     )
 
 
-def hit_lists(hits: DataFrame, statistics: DataFrame, per_list: int = HITS_PER_LIST) -> DataFrame:
+def hit_lists(
+    hits: DataFrame, statistics: DataFrame, per_list: int = HITS_PER_LIST, spread_by: Column | None = None
+) -> DataFrame:
     """Hit scores per (request, record) as lists, best first.
 
-    A record with very many hits gets several lists, cut by chunk id, so no list grows
-    with the table and all hits are in one of them.
+    A record with very many hits gets several lists, dealt out by a hash of the chunk
+    id, so no list grows with the table and every hit is in one of them.
     """
+    dealt = F.xxhash64("chunk_id") if spread_by is None else spread_by
     lists = statistics.select(
         "request_id", "record_id", F.ceil(F.col("hit_count") / per_list).cast("int").alias("n_lists")
     )
     return (
         hits.join(lists, ["request_id", "record_id"])
-        .withColumn("list_no", F.pmod("chunk_id", "n_lists"))
+        .withColumn("list_no", F.pmod(dealt, F.col("n_lists")))
         .groupBy("request_id", "record_id", "list_no")
         .agg(F.sort_array(F.collect_list("score"), asc=False).alias("scores"))
     )

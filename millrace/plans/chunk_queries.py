@@ -57,8 +57,7 @@ _ANSWER_SPANS = f"""
     )
 )
 def coverage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    usable = _usable(spark, sf_dir)
-    return chunk.coverage_audit(usable, chunk.chunk_rows(usable, "doc_id"), "doc_id", "content")
+    return chunk.coverage_audit_in_row(_usable(spark, sf_dir), "doc_id", "content")
 
 
 @query(

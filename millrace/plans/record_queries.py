@@ -255,29 +255,37 @@ def ledger_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    O.sql("""SELECT record_id, CAST(position // 4 AS INT) AS segment, count(*) AS n_items,
+    O.sql("""SELECT record_id, CAST(position // 4 AS INT) AS segment, CAST(sum(copies) AS BIGINT) AS n_items,
                string_agg(item, ';' ORDER BY position, item_id, units) AS items
-             FROM (SELECT *, position || ':' || coalesce(p_name, '?') || ':' || coalesce(p_brand, '?') AS item
-                   FROM f_order_items LEFT JOIN part ON p_partkey = item_id)
+             FROM (SELECT *, position || ':' || coalesce(p_name, '?') || ':' || coalesce(p_brand, '?') || ':' || copies AS item
+                   FROM (SELECT record_id, position, item_id, units, count(*) AS copies FROM f_order_items GROUP BY ALL)
+                   LEFT JOIN part ON p_partkey = item_id)
              GROUP BY record_id, position // 4""")
 )
 def resolve_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = feeds.table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand")
     )
-    rows = dedup.resolve_items(feeds.order_items(spark, sf_dir), parts, "item_id")
+    lines = dedup.fold_copies(feeds.order_items(spark, sf_dir).drop("application"))
     nested = dedup.nest_items(
-        rows, "record_id", ["position", "item_id", "units"], ["name", "brand"], F.floor(F.col("position") / 4).cast("int")
+        dedup.resolve_items(lines, parts, "item_id"),
+        "record_id",
+        ["position", "item_id", "units"],
+        ["name", "brand", "copies"],
+        F.floor(F.col("position") / 4).cast("int"),
     )
     shown = F.transform(
         "items",
         lambda i: F.concat_ws(
-            ":", i["position"].cast("string"), F.coalesce(i["name"], F.lit("?")), F.coalesce(i["brand"], F.lit("?"))
+            ":",
+            i["position"].cast("string"),
+            F.coalesce(i["name"], F.lit("?")),
+            F.coalesce(i["brand"], F.lit("?")),
+            i["copies"].cast("string"),
         ),
     )
-    return nested.select(
-        "record_id", "segment", F.size("items").cast("long").alias("n_items"), F.array_join(shown, ";").alias("items")
-    )
+    total = F.aggregate("items", F.lit(0).cast("long"), lambda acc, i: acc + i["copies"])
+    return nested.select("record_id", "segment", total.alias("n_items"), F.array_join(shown, ";").alias("items"))
 
 
 @query(
@@ -351,14 +359,21 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest state of every record after extraction, chunking and shaping."""
     answers = infer.resolve(feeds.answered(spark, sf_dir))
-    texts = once(answers, text=X.clean_text(F.col("content")))
-    items = feeds.records(spark, sf_dir).select("doc_id", shape.untranslatable().alias("failures"))
-    joined = texts.join(items, "doc_id")
-    judged = joined.select(
+    # flags only go through the join, never the texts
+    flags = once(
+        answers,
+        flags=F.struct(
+            (~X.is_blank(X.clean_text(F.col("content")))).alias("extracted"),
+            (F.size("chunks") > 0).alias("chunks_ok"),
+            (F.size(shape.request_chunks(F.col("chunks"))) > 0).alias("filled"),
+        ),
+    ).select("doc_id", "flags.*")
+    items = feeds.records(spark, sf_dir).select("doc_id", (F.size(shape.untranslatable()) == 0).alias("translated"))
+    judged = flags.join(items, "doc_id").select(
         F.col("doc_id").cast("string").alias("id"),
-        "text",
-        (F.size("chunks") > 0).alias("chunks_ok"),
-        ((F.size("failures") == 0) & (F.size(shape.request_chunks(F.col("chunks"))) > 0)).alias("request_ok"),
+        "extracted",
+        "chunks_ok",
+        (F.col("filled") & F.col("translated")).alias("request_ok"),
     )
     return ledger.newest_state(ledger.stage_states(judged, "id"))
 

@@ -193,7 +193,7 @@ def search_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def search_hit_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = _hits(spark, sf_dir)
-    lists = search.hit_lists(hits, search.search_statistics(hits), per_list=4)
+    lists = search.hit_lists(hits, search.search_statistics(hits), per_list=4, spread_by=F.col("chunk_id"))
     shown = F.transform("scores", lambda s: F.format_string("%.6f", s))
     return lists.select(
         "request_id", "record_id", F.col("list_no").cast("long").alias("list_no"), F.array_join(shown, ",").alias("scores")
