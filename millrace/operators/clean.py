@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions import text as X
 from millrace.functions.plan import once
 
+# The names under which the cleaning tools are offered and called.
 LIST_TOOLS = {
     "remove_markdown": X.clean_markdown,
     "remove_html_tags": X.clean_html,

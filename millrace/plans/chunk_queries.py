@@ -95,7 +95,7 @@ def split_sentence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk.split_sentence_audit(_answer_rows(spark, sf_dir), "doc_id")
 
 
-@query(O.sql("SELECT doc_id, block AS block_pos, category, block_text AS text FROM f_blocks"))
+@query(O.sql("SELECT doc_id, CAST(block AS BIGINT) AS block_pos, category, block_text AS text FROM f_blocks"))
 def absorb_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocked = chunk.with_blocks(feeds.docs(spark, sf_dir).select("doc_id", "content"), "content")
     return blocked.select("doc_id", F.posexplode("blocks").alias("block_pos", "block")).select(

@@ -157,7 +157,7 @@ MIN_SCORE = 0.2
 _HITS = f"SELECT * FROM f_scores WHERE score >= {MIN_SCORE}"
 _STATS = f"""
     SELECT request_id, record_id, micro / 1000000 AS total_score, max_score, micro / hit_count / 1000000 AS avg_score,
-           micro / hit_count / 1000000 * (1 + {search.HIT_BOOST} * hit_count) AS weighted_score, hit_count
+           micro / hit_count / 1000000 * (1 + CAST({search.HIT_BOOST} AS DOUBLE) * hit_count) AS weighted_score, hit_count
     FROM (SELECT request_id, record_id, CAST(CAST(sum(CAST(round(score * 1000000) AS BIGINT)) AS BIGINT) AS DOUBLE) AS micro,
                  max(score) AS max_score, count(*) AS hit_count FROM f_hits GROUP BY ALL)"""
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +18,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Fixed when a session starts.  No call-site capture per column function: building a
+# large plan then takes far fewer calls into the JVM.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """Single-JVM session for tests and the bench."""
@@ -28,7 +33,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in RUNTIME_CONF.items():
+    for key, value in {**RUNTIME_CONF, **START_CONF}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -52,11 +57,15 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        named = _local_dir()
     return named.rstrip("/")
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="millrace-")
+
+
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared folder, so runs never read each other's files."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -257,6 +257,32 @@ def test_requests_and_chain(spark):
     ]
 
 
+def test_quarantine_and_ledger_tables(spark, tmp_path):
+    answers = spark.createDataFrame(
+        [(1, '{"a":1}', None), (2, "[", "["), (3, "", None), (4, "[]", None)], "id int, first_answer string, second_answer string"
+    )
+    resolved = infer.resolve(answers)
+    sinks.write_quarantine(infer.quarantine(resolved, "id"), f"{tmp_path}/bad")
+    kept = spark.read.json(f"{tmp_path}/bad").collect()
+    assert {(r["id"], r["stage"], r["answer"]) for r in kept} == {(1, "first", '{"a":1}'), (2, "second", "[")}
+    rows = ledger.append_outcomes(
+        ledger.outcome_rows(resolved, "id", "extraction", F.lit(True)),
+        ledger.outcome_rows(resolved, "id", "chunking", F.coalesce(F.size("chunks") > 0, F.lit(False))),
+    )
+    assert {tuple(r) for r in ledger.newest_state(rows).collect()} == {(i, "chunking-failed", 2) for i in (1, 2, 3, 4)}
+    assert {r["state"] for r in rows.collect()} <= set(feeds.S.STATES)
+
+
+def test_coverage_forms_agree(spark):
+    rows = spark.createDataFrame(
+        [(1, "a\nb\nb\nc", [("other", "a\nb"), ("other", "d")]), (2, "x", [("other", "x")])],
+        "id int, text string, chunks array<struct<category:string,content:string>>",
+    )
+    in_row = {tuple(r) for r in chunk.coverage_audit_in_row(rows, "id", "text").collect()}
+    joined = {tuple(r) for r in chunk.coverage_audit(rows, chunk.chunk_rows(rows, "id"), "id").collect()}
+    assert in_row == joined and sorted(r[4] for r in in_row) == ["added", "omitted", "omitted"]
+
+
 def test_kafka_options():
     options = M.kafka_options("b:1", "topic", "group", "none", consumers=4)
     assert options["failOnDataLoss"] == "true" and options["minPartitions"] == "4" and options["includeHeaders"] == "true"
