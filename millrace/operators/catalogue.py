@@ -31,7 +31,8 @@ def filter_facets(items: DataFrame, usage: DataFrame) -> DataFrame:
     when its flag is null; ``usage`` has item_id for items that occur in a record.
     """
     used = usage.groupBy("item_id").agg(F.lit(None).cast("boolean").alias("flag")).withColumn("seen", F.lit(True))
-    joined = items.dropDuplicates(["facet", "item_id"]).join(used, "item_id", "left")
+    distinct_items = items.groupBy("facet", "item_id").agg(F.min(F.struct("name", "parent")).alias("shown"))
+    joined = distinct_items.select("facet", "item_id", "shown.*").join(used, "item_id", "left")
     flag = F.when(F.col("seen").isNull(), F.lit(False)).otherwise(F.col("flag"))
     return joined.select("facet", "item_id", "name", "parent", F.coalesce(flag, F.lit(True)).alias("used"))
 

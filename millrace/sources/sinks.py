@@ -57,7 +57,8 @@ def upsert(index: DataFrame, batch: DataFrame, key: str, order: str) -> DataFram
 
     Batch rows are reduced to one per key before they meet the index, so a key that is
     repeated without end in the batch costs one row per input partition.  Rows of the
-    index that the batch leaves alone pass an anti join and are not aggregated.
+    index that the batch leaves alone pass an anti join and are not aggregated; where
+    the batch's ids measure small enough to broadcast, the index is not shuffled at all.
     """
     columns = [c for c in batch.columns if c != key]
     newest = batch.groupBy(key).agg(F.max_by(F.struct(*columns), order).alias("row")).select(key, "row.*")
