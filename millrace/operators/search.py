@@ -155,17 +155,23 @@ def hit_lists(
     """Hit scores per (request, record) as lists, best first.
 
     A record with very many hits gets several lists, dealt out by a hash of the chunk
-    id, so no list grows with the table and every hit is in one of them.
+    id; a hand that comes out over ``per_list`` is cut again by rank.  So no list is
+    longer than that, and every hit is in one of them.  Ranking and collecting share
+    one shuffle.
     """
     dealt = F.xxhash64("chunk_id") if spread_by is None else spread_by
     lists = statistics.select(
         "request_id", "record_id", F.ceil(F.col("hit_count") / per_list).cast("int").alias("n_lists")
     )
+    hand = Window.partitionBy("request_id", "record_id", "hand").orderBy(F.col("score").desc(), "chunk_id")
+    part = F.floor((F.row_number().over(hand) - 1) / per_list)
     return (
         hits.join(lists, ["request_id", "record_id"])
-        .withColumn("list_no", F.pmod(dealt, F.col("n_lists")))
-        .groupBy("request_id", "record_id", "list_no")
+        .withColumn("hand", F.pmod(dealt, F.col("n_lists")))
+        .withColumn("list_no", F.col("hand") + F.col("n_lists") * part)
+        .groupBy("request_id", "record_id", "hand", "list_no")
         .agg(F.sort_array(F.collect_list("score"), asc=False).alias("scores"))
+        .drop("hand")
     )
 
 

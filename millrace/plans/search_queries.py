@@ -184,9 +184,13 @@ def search_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     O.sql(
-        """SELECT h.request_id, h.record_id, CAST(chunk_id % CAST(ceil(hit_count / 4) AS INT) AS BIGINT) AS list_no,
+        """SELECT request_id, record_id, CAST(hand + n_lists * ((rn - 1) // 4) AS BIGINT) AS list_no,
              string_agg(printf('%.6f', score), ',' ORDER BY score DESC) AS scores
-           FROM f_hits h JOIN f_stats USING (request_id, record_id) GROUP BY ALL""",
+           FROM (SELECT *, row_number() OVER (PARTITION BY request_id, record_id, hand ORDER BY score DESC, chunk_id) AS rn
+                 FROM (SELECT h.request_id, h.record_id, chunk_id, score, CAST(ceil(hit_count / 4) AS BIGINT) AS n_lists,
+                              chunk_id % CAST(ceil(hit_count / 4) AS BIGINT) AS hand
+                       FROM f_hits h JOIN f_stats USING (request_id, record_id)))
+           GROUP BY ALL""",
         f_hits=_HITS,
         f_stats=_STATS,
     )
