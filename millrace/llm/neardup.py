@@ -7,10 +7,9 @@ each with one place left out: all pairs under that distance share a key.  A pair
 similarity of 0.8 shares none with a chance of 0.345 ** 10, about 2 in 100,000.
 
 Documents with equal sets are one class with one entry in the index.  The pairs of a key
-are never all made.  Every member of a key is linked to the key's first class and checked
-on full sets; then keys whose members still lie in several components get other pivots; at last the
-pairs that remain between components of a key are checked one by one, each pair at the first
-key that it shares.  So no link is lost and a group of near copies costs some checks per
+are never all made.  Every member of a key is compared, on full sets, with the key's first and
+last class; where the members of a key still lie in several components, the pairs between
+components are checked one by one, each pair at the first key that it shares.  So no link is lost and a group of near copies costs some checks per
 member.  Sets are read again for the classes that have a pair, found by a bitmap of fixed size.
 
 Shingles are distinct runs of words after A-Z is lower-cased; with fewer words the whole
@@ -86,23 +85,25 @@ def index_keys():
     return F.array(*keys)
 
 
-def near(a: str, b: str, chunk: int, places: range):
-    """Whether two rows agree on a chunk with one of some places left out."""
-    differ = F.col(f"{a}.c{chunk}").bitwiseXOR(F.col(f"{b}.c{chunk}"))
-    found = F.lit(False)
-    for m in places:
-        found = found | (differ.bitwiseAND(~(0xFF << 8 * m) & (2**48 - 1)) == 0)
-    return found
+SEVENS, EIGHTS = 0x7F7F7F7F7F7F, 0x808080808080
 
 
 def shared_before(number):
-    """Whether rows x and y share a key with a smaller number than this one."""
+    """Whether rows x and y share a key with a smaller number than this one, which they share.
+
+    The marks of a chunk have one bit for each place that differs.  An earlier chunk with at
+    most one mark has a common key; in the own chunk the first key is the first common one
+    unless a place differs, and then there is no other.
+    """
+    def marks(chunk: int):
+        differ = F.col(f"x.c{chunk}").bitwiseXOR(F.col(f"y.c{chunk}"))
+        return (differ.bitwiseAND(SEVENS) + SEVENS).bitwiseOR(differ).bitwiseAND(EIGHTS)
+
     out = F.lit(False)
     for chunk in range(CHUNKS):
-        whole = near("x", "y", chunk, range(PER_CHUNK))
-        out = out | ((number >= (chunk + 1) * PER_CHUNK) & whole)
-        for m in range(1, PER_CHUNK):
-            out = out | ((number == chunk * PER_CHUNK + m) & near("x", "y", chunk, range(m)))
+        out = out | ((number >= (chunk + 1) * PER_CHUNK) & (F.bit_count(marks(chunk)) <= 1))
+        inside = (number > chunk * PER_CHUNK) & (number < (chunk + 1) * PER_CHUNK)
+        out = out | (inside & (marks(chunk) == 0))
     return out
 
 
@@ -176,35 +177,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     nodes = durable(signed.where("n_shingles > 0").groupBy("node").agg(F.min("own").alias("rep"), *own))
 
     keyed = nodes.select("node", "rep", F.posexplode(index_keys()).alias("number", "key"))
-    firsts = keyed.groupBy("key").agg(F.min("rep").alias("first"), F.count("*").alias("size")).where("size > 1")
-    members = durable(keyed.join(firsts, "key").select("key", "number", "node", "rep", "first", "size"))
-    pairs = durable(members.where("rep != first").select("node", F.col("first").alias("other")).distinct())
-    touched = members.select(F.col("rep").alias("id")).distinct()
-    sets = Sets(docs, touched, width)
+    ends = keyed.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last"), F.count("*").alias("size"))
+    members = durable(keyed.join(ends.where("size > 1"), "key"))
+    others = F.when(F.col("size") > 2, F.array("first", "last")).otherwise(F.array("first"))
+    pairs = members.select("node", "rep", F.explode(others).alias("other")).where("rep != other")
+    pairs = durable(pairs.select("node", "other").distinct())
+    sets = Sets(docs, members.select(F.col("rep").alias("id")).distinct(), width)
     checked = durable(sets.check(pairs, percent))
-    links = checked.where("linked").select("a", "b")
-    roots = components(links)
-
-    open_members = members.where("size > 2")
-    for salt in range(2):
-        open_members = durable(unresolved(open_members, roots))
-        if open_members.isEmpty():
-            break
-        drawn = F.xxhash64("key", "node", F.lit(salt))
-        pivots = open_members.groupBy("key").agg(F.min(drawn).alias("draw"))
-        chosen = open_members.join(pivots, "key").where(drawn == F.col("draw"))
-        chosen = chosen.select("key", F.col("rep").alias("other"), F.col("root").alias("other_root"))
-        more = open_members.join(chosen, "key").where("root != other_root").select("node", "other").distinct()
-        found = durable(sets.check(more, percent))
-        checked = checked.union(found)
-        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found.where("linked").select("a", "b"))
-        roots = components(links)
-    else:
-        open_members = durable(unresolved(open_members, roots))
-        if not open_members.isEmpty():
-            found = sets.check(remaining_pairs(open_members, nodes, checked, percent), percent).where("linked")
-            links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found.select("a", "b"))
-            roots = components(links)
+    roots = components(checked.where("linked"))
+    open_members = durable(unresolved(members.where("size > 2"), roots))
+    if not open_members.isEmpty():
+        found = sets.check(remaining_pairs(open_members, nodes, checked, percent), percent).where("linked")
+        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(known.union(found.select("a", "b")))
 
     placed = nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     placed = durable(placed)
