@@ -8,8 +8,9 @@ similarity of 0.8 shares none with a chance of 0.345 ** 10, about 2 in 100,000.
 
 Documents with equal sets are one class with one entry in the index.  The pairs of a key
 are never all made.  Every member of a key is compared, on full sets, with the key's first and
-last class; where the members of a key still lie in several components, the pairs between
-components are checked one by one, each pair at the first key that it shares.  So no link is lost and a group of near copies costs some checks per
+last class; where the members of a key still lie in several components, with one more; and then
+the pairs between components that can still be similar are checked one by one, each pair at
+the first key that it shares.  So no link is lost and a group of near copies costs some checks per
 member.  Sets are read again for the classes that have a pair, found by a bitmap of fixed size.
 
 Shingles are distinct runs of words after A-Z is lower-cased; with fewer words the whole
@@ -134,21 +135,28 @@ class Sets:
         self.table = durable(found.groupBy("node", "rep").agg(F.first("cells").alias("cells")))
 
     def check(self, pairs: DataFrame, percent: int) -> DataFrame:
-        """a, b, linked for pairs (node, other): classes and the first ids of the classes they are compared with."""
+        """a, b, other, both, linked for pairs (node, other): a class and the first id of the class b
+        that it is compared with; ``both`` is the size of the intersection."""
         right = self.table.select(F.col("rep").alias("other"), F.col("node").alias("b"), F.col("cells").alias("with"))
         joined = pairs.join(self.table.select("node", "cells"), "node").join(right, "other").where("node != b")
 
         def make():
             def run(batch: pa.RecordBatch) -> dict:
-                linked = [
-                    similar(long_cells(x.as_py()), long_cells(y.as_py()), percent)
-                    for x, y in zip(batch.column("cells"), batch.column("with"))
-                ]
-                return {"a": batch.column("node"), "b": batch.column("b"), "linked": pa.array(linked, pa.bool_())}
+                sets = zip(batch.column("cells"), batch.column("with"))
+                found = [common(long_cells(x.as_py()), long_cells(y.as_py())) for x, y in sets]
+                linked = [100 * both >= percent * (x + y - both) for both, x, y in found]
+                return {
+                    "a": batch.column("node"),
+                    "b": batch.column("b"),
+                    "other": batch.column("other"),
+                    "both": pa.array([f[0] for f in found], pa.int64()),
+                    "linked": pa.array(linked, pa.bool_()),
+                }
 
             return run
 
-        return arrow_pass(joined.select("node", "b", "cells", "with"), "a long, b long, linked boolean", make)
+        kind = "a long, b long, other long, both long, linked boolean"
+        return arrow_pass(joined.select("node", "b", "other", "cells", "with"), kind, make)
 
 
 def short_cells(own: np.ndarray) -> bytes:
@@ -162,11 +170,9 @@ def long_cells(data: bytes) -> np.ndarray:
     return cells.view(np.uint64).ravel()
 
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
+def common(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
+    """Size of the intersection, and of both sets."""
+    return len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -187,9 +193,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     roots = components(checked.where("linked"))
     open_members = durable(unresolved(members.where("size > 2"), roots))
     if not open_members.isEmpty():
-        found = sets.check(remaining_pairs(open_members, nodes, checked, percent), percent).where("linked")
-        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = components(known.union(found.select("a", "b")))
+        # Members outside of their key's largest component get one more pivot for each key.
+        drawn = F.xxhash64("key", "node")
+        pivots = open_members.groupBy("key").agg(F.min(drawn).alias("draw"))
+        chosen = open_members.join(pivots, "key").where(drawn == F.col("draw"))
+        chosen = chosen.select("key", F.col("rep").alias("other"), F.col("root").alias("other_root"))
+        more = open_members.join(chosen, "key").where("root != other_root").select("node", "other").distinct()
+        found = durable(sets.check(more, percent))
+        roots = components(together(roots, found))
+        open_members = durable(unresolved(open_members, roots))
+        if not open_members.isEmpty():
+            rest = remaining_pairs(open_members, nodes, checked, found, percent)
+            roots = components(together(roots, sets.check(rest, percent)))
 
     placed = nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     placed = durable(placed)
@@ -207,28 +222,46 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
+def together(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """The links of the components known so far and newly confirmed ones."""
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return known.union(found.where("linked").select("a", "b"))
+
+
 def unresolved(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members, with their roots, of the keys whose members have more than one."""
-    placed = members.select("key", "number", "node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    own = members.select("key", "number", "node", "rep", "first")
+    placed = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return placed.join(mixed.select("key"), "key", "left_semi").select("key", "number", "node", "rep", "root")
+    return placed.join(mixed.select("key"), "key", "left_semi")
+
 
+def remaining_pairs(members: DataFrame, nodes: DataFrame, checked: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs between components of a key that were not checked, each at the first key that it shares.
 
-def remaining_pairs(members: DataFrame, nodes: DataFrame, checked: DataFrame, percent: int) -> DataFrame:
-    """Pairs between components of a key that were not checked, each at the first key that it shares."""
-    full = members.join(nodes.select("node", "n_shingles", *COLUMNS), "node")
+    Both members of a pair were compared with the key's first class p, so x and y have at
+    most min(|x & p|, |y & p|) + min(|x - p|, |y - p|) shingles in common; pairs that cannot
+    reach the wanted similarity are left out.
+    """
+    known = checked.select(F.col("a").alias("node"), F.col("other").alias("first"), "both").distinct()
+    full = members.join(nodes.select("node", "n_shingles", *COLUMNS), "node").join(known, ["node", "first"], "left")
+    full = full.withColumn("both", F.when(F.col("rep") == F.col("first"), F.col("n_shingles")).otherwise(F.col("both")))
+    # Rows that repeat an id with another text may have met the first id under another class.
+    full = full.withColumn("inside", F.coalesce("both", "n_shingles")).withColumn("outside", F.coalesce(F.col("n_shingles") - F.col("both"), "n_shingles"))
     x, y = full.alias("x"), full.alias("y")
+    most = F.least("x.inside", "y.inside") + F.least("x.outside", "y.outside")
     fits = (
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.node") < F.col("y.node"))
         & (F.col("x.root") != F.col("y.root"))
-        & (100 * F.col("x.n_shingles") >= percent * F.col("y.n_shingles"))
-        & (100 * F.col("y.n_shingles") >= percent * F.col("x.n_shingles"))
+        & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
+        & (100 * most >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles") - most))
         & ~shared_before(F.col("x.number"))
     )
     pairs = x.join(y, fits).select(F.col("x.node").alias("node"), F.col("y.node").alias("b"), F.col("y.rep").alias("other"))
-    known = checked.select(F.least("a", "b").alias("node"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs.join(known, ["node", "b"], "left_anti").select("node", "other")
+    done = checked.select("a", "b").union(found.select("a", "b"))
+    done = done.select(F.least("a", "b").alias("node"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.join(done, ["node", "b"], "left_anti").select("node", "other")
 
 
 def drop_copies(docs: DataFrame, judged: DataFrame) -> DataFrame:
