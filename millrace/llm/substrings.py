@@ -13,7 +13,7 @@ Documents are dealt into groups by a hash of their id; a group holds a bounded a
 text.  Within a group equal hashes are merged before anything is shuffled, and they travel
 as packed arrays, one for each (group, bucket).  A passage that is in every document is one
 number per group, so no key is hot.  Hashes of 7 words only choose candidates; windows of
-13 words are compared by two independent 64-bit hashes.
+13 words are compared by 96 bits of two independent hashes.
 
 A null id is smaller than every other id (repeats under null ids are equal).  Rows that
 repeat an id count as one document in the comparison of ids: they keep what no smaller id
@@ -58,6 +58,11 @@ def anchors(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return rolled[at], at, owner[at], (at - starts[owner[at]]) % BLOCK == 0
 
 
+def second_hash(hashes: np.ndarray) -> np.ndarray:
+    """32 more bits for each window, from other word hashes."""
+    return (rolling(mix(hashes) ^ (hashes >> np.uint64(7)), WINDOW) >> np.uint64(32)).astype(np.uint32)
+
+
 def pack(bucket_of: np.ndarray, buckets: int, *columns: np.ndarray) -> list[tuple[int, list[bytes]]]:
     """Columns cut by bucket; rows must be sorted by bucket."""
     edges = np.searchsorted(bucket_of, np.arange(buckets + 1))
@@ -81,28 +86,23 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     dealt = docs.select(own, "text", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int").alias("grp"))
     dealt = dealt.repartition(F.col("grp"))
 
-    # 1. Every group: its distinct rolling hashes, with the document if there is one only.
+    # 1. Every group: its distinct rolling hashes, and whether they are blocks.
     def probe(key: tuple, table: pa.Table) -> pa.Table:
         hashes, starts, _ = group_words(table["text"])
-        values, _, owner, block = anchors(hashes, starts)
-        ids = table["own"].to_numpy()
+        values, _, _, block = anchors(hashes, starts)
         order = np.argsort(values, kind="stable")
-        values, block, who = values[order], block[order], ids[owner[order]]
+        values, block = values[order], block[order]
         first = run_starts(values)
-        if len(first):
-            several = np.minimum.reduceat(who, first) != np.maximum.reduceat(who, first)
-            flags = np.logical_or.reduceat(block, first).astype(np.uint8) | several.astype(np.uint8) << 1
-            values = values[first]
-        else:
-            flags = np.empty(0, np.uint8)
-        # 32 bits below the bucket bits choose candidates; flags take two of them.
+        flags = np.logical_or.reduceat(block, first).astype(np.uint8) if len(first) else np.empty(0, np.uint8)
+        values = values[first]
+        # 30 bits below the bucket bits choose candidates; the lowest of 32 is the flag.
         short = ((values >> np.uint64(8)).astype(np.uint32) & np.uint32(0xFFFFFFFC)) | flags
         return blobs(key[0].as_py(), pack(bucket(values, groups), groups, short), ["data"])
 
     kind = "grp int, bucket int, data binary"
     probes = dealt.groupBy("grp").applyInArrow(probe, kind)
 
-    # 2. Every bucket: hashes that two documents share and one of them has as a block.
+    # 2. Every bucket: hashes that two groups share and one of them has as a block.
     def meet(key: tuple, table: pa.Table) -> pa.Table:
         parts = [np.frombuffer(x.as_py(), np.uint32) for x in table["data"]]
         sizes = [len(p) for p in parts]
@@ -113,7 +113,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
         first = run_starts(short)
         count = np.diff(np.append(first, len(short)))
         joined = np.bitwise_or.reduceat(flags, first)
-        hit = ((joined & 1) > 0) & ((count > 1) | ((joined & 2) > 0))
+        hit = ((joined & 1) > 0) & (count > 1)
         every = np.repeat(hit, count)
         short, source = short[every], source[every]
         order = np.argsort(source, kind="stable")
@@ -132,10 +132,10 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
 
     hits = probes.groupBy("bucket").applyInArrow(meet, kind)
 
-    # 3. Every group: windows of 13 words over its hits, with the smallest and the largest id.
+    # 3. Every group: its distinct windows of 13 words over hits, with their smallest id.
     def extend(key: tuple, table: pa.Table, found: pa.Table) -> pa.Table:
         hashes, starts, _ = group_words(table["text"])
-        value, check, owner, _ = candidates(hashes, starts, found)
+        value, check, owner = candidates(hashes, starts, found)
         ids = table["own"].to_numpy()
         order = np.lexsort((ids[owner], check, value))
         value, check, who = value[order], check[order], ids[owner[order]]
@@ -160,64 +160,65 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
         where = np.arange(len(rolled))
         over = total[where + WINDOW - BLOCK + 1] > total[where] if len(where) else np.empty(0, bool)
         chosen = np.flatnonzero(good & over)
-        check = rolling(mix(hashes) ^ (hashes >> np.uint64(7)), WINDOW)
-        return rolled[chosen], check[chosen], owner[chosen], chosen
+        return rolled[chosen], second_hash(hashes)[chosen], owner[chosen]
 
     kind = "grp int, bucket int, value binary, check binary, least binary"
     spread = dealt.groupBy("grp").cogroup(hits.groupBy("grp")).applyInArrow(extend, kind)
 
-    # 4. Every bucket: the smallest id of each window; back to the groups that have a larger one.
+    # 4. Every bucket: windows of which another group has a smaller id go back to the group.
     def settle(key: tuple, table: pa.Table) -> pa.Table:
         read = lambda c, t: [np.frombuffer(x.as_py(), t) for x in table[c]]
         parts = read("value", np.uint64)
-        value, check = np.concatenate(parts), np.concatenate(read("check", np.uint64))
+        value, check = np.concatenate(parts), np.concatenate(read("check", np.uint32))
         least = np.concatenate(read("least", np.int64))
         source = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
         order = np.lexsort((least, check, value))
         value, check, least, source = value[order], check[order], least[order], source[order]
         first = run_starts(value, check)
         count = np.diff(np.append(first, len(value)))
-        smallest = np.repeat(least[first], count)
-        rows, grps = [], table["grp"].to_pylist()
+        larger = least > np.repeat(least[first], count)
+        value, check, source = value[larger], check[larger], source[larger]
         order = np.argsort(source, kind="stable")
-        value, check, smallest = value[order], check[order], smallest[order]
+        value, check = value[order], check[order]
         edges = np.searchsorted(source[order], np.arange(len(parts) + 1))
-        for i, g in enumerate(grps):
-            s = slice(edges[i], edges[i + 1])
-            rows.append((g, value[s].tobytes(), check[s].tobytes(), smallest[s].tobytes()))
+        grps = table["grp"].to_pylist()
+        cuts = [(g, slice(edges[i], edges[i + 1])) for i, g in enumerate(grps) if edges[i] < edges[i + 1]]
         return pa.table(
-            [pa.array([r[0] for r in rows], pa.int32()), pa.array([key[0].as_py()] * len(rows), pa.int32())]
-            + [pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)],
-            names=["grp", "bucket", "value", "check", "least"],
+            [
+                pa.array([g for g, _ in cuts], pa.int32()),
+                pa.array([key[0].as_py()] * len(cuts), pa.int32()),
+                pa.array([value[s].tobytes() for _, s in cuts], pa.binary()),
+                pa.array([check[s].tobytes() for _, s in cuts], pa.binary()),
+            ],
+            names=["grp", "bucket", "value", "check"],
         )
 
-    settled = spread.groupBy("bucket").applyInArrow(settle, kind)
+    settled = spread.groupBy("bucket").applyInArrow(settle, "grp int, bucket int, value binary, check binary")
 
-    # 5. Every group: cover the words of windows that a smaller id has.
+    # 5. Every group: cover the words of windows that a smaller id has, in another group or in this one.
     def cover(key: tuple, table: pa.Table, found: pa.Table) -> pa.Table:
         hashes, starts, words = group_words(table["text"])
         ids = table["own"].to_numpy()
-        gone = np.zeros(len(hashes) + 1, np.int64)
+        rolled, second = rolling(hashes, WINDOW), second_hash(hashes)
+        good, owner = whole_windows(starts, WINDOW, len(rolled))
+        at = np.flatnonzero(good)
+        own, who = rolled[at], ids[owner[at]]
         value = np.concatenate([np.empty(0, np.uint64)] + [np.frombuffer(x.as_py(), np.uint64) for x in found["value"]])
-        check = np.concatenate([np.empty(0, np.uint64)] + [np.frombuffer(x.as_py(), np.uint64) for x in found["check"]])
-        least = np.concatenate([np.empty(0, np.int64)] + [np.frombuffer(x.as_py(), np.int64) for x in found["least"]])
-        if len(value):
-            order = np.lexsort((check, value))
-            value, check, least = value[order], check[order], least[order]
-            rolled, second = rolling(hashes, WINDOW), rolling(mix(hashes) ^ (hashes >> np.uint64(7)), WINDOW)
-            good, owner = whole_windows(starts, WINDOW, len(rolled))
-            at = np.flatnonzero(good & np.isin(rolled, value))
-            place = np.searchsorted(value, rolled[at])
-            # Windows whose first hash is shared by several second hashes: step to the own one.
-            for _ in range(len(value)):
-                wrong = (value[place] == rolled[at]) & (check[place] != second[at]) & (place + 1 < len(value))
-                if not wrong.any():
-                    break
-                place = place + wrong
-            same = (value[place] == rolled[at]) & (check[place] == second[at]) & (least[place] < ids[owner[at]])
-            start = at[same]
-            np.add.at(gone, start, 1)
-            np.add.at(gone, start + WINDOW, -1)
+        check = np.concatenate([np.empty(0, np.uint32)] + [np.frombuffer(x.as_py(), np.uint32) for x in found["check"]])
+        # What came back is sorted in with an id below all others; then the first row of a run has the smallest id.
+        every = np.concatenate([value, own])
+        seconds = np.concatenate([check, second[at]])
+        owners = np.concatenate([np.full(len(value), np.iinfo(np.int64).min), who])
+        foreign = np.concatenate([np.ones(len(value), bool), np.zeros(len(own), bool)])
+        order = np.lexsort((owners, ~foreign, seconds, every))
+        first = run_starts(every[order], seconds[order])
+        count = np.diff(np.append(first, len(order)))
+        lead = order[first]
+        smaller = np.repeat(foreign[lead], count) | (np.repeat(owners[lead], count) < owners[order])
+        start = at[order[smaller & ~foreign[order]] - len(value)]
+        gone = np.zeros(len(hashes) + 1, np.int64)
+        np.add.at(gone, start, 1)
+        np.add.at(gone, start + WINDOW, -1)
         removed = np.cumsum(gone)[:-1] > 0
         out_text, sizes, lost = [], [], []
         for i, own_words in enumerate(words):
