@@ -19,14 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.plan import once
-from millrace.llm.common import SPACES, word_count
+from millrace.llm.common import SPACES
 
 WINDOW = 8
 LEAST_WORDS = 20
 REPEATED_PERCENT = 30
 MOST_DOCUMENTS = 20
 DEPLETED_PERCENT = 80  # removed share of the words from which a document is depleted
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
@@ -34,7 +34,8 @@ def text_facts(docs: DataFrame, host: str = "source") -> DataFrame:
     """doc_id, row_key and the facts of each text on its own."""
     text = F.coalesce(F.col("text"), F.lit(""))
     plain = docs.select("doc_id", row_key(host).alias("row_key"), text.alias("t"))
-    facts = once(plain, w=F.filter(F.split("t", BLANKS), lambda w: w != ""))
+    inner = F.btrim(F.col("t"), F.lit(SPACES))
+    facts = once(plain, w=F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, BLANKS)))
     facts = once(facts, h=F.transform("w", lambda w: F.xxhash64(w)), lines=word_lines(F.col("t")))
     window = F.transform(
         F.sequence(F.lit(0), F.size("h") - WINDOW),
@@ -54,23 +55,29 @@ def text_facts(docs: DataFrame, host: str = "source") -> DataFrame:
         "doc_id",
         "row_key",
         F.size("w").cast("long").alias("n_words"),
-        F.length(F.translate("t", SPACES, "")).cast("long").alias("word_chars"),
-        (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        F.regexp_count("t", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(F.aggregate(ahead, F.lit(0), lambda a, b: a + b), F.lit(0)).cast("long").alias("n_repeat_words"),
     )
 
 
 def word_lines(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
+    return F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
 
 
 def row_key(host: str) -> Column:
     return F.xxhash64("doc_id", host, "text")
 
 
+def line_words(line: Column) -> Column:
+    """Words of a line that has one: the runs of separators inside it, and one."""
+    return F.regexp_count(F.btrim(line, F.lit(SPACES)), F.lit(BLANKS)) + 1
+
+
 def normalised(line: Column) -> Column:
-    return F.translate(F.lower(F.trim(F.regexp_replace(line, BLANKS, " "))), "123456789", "000000000")
+    squeezed = F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "))
+    return F.regexp_replace(F.lower(squeezed), "[1-9]", "0")
 
 
 def line_places(docs: DataFrame, host: str = "source") -> DataFrame:
@@ -108,7 +115,7 @@ def judge(docs: DataFrame, host: str = "source", most: int = MOST_DOCUMENTS) ->
     """The facts of each document, n_removed_words, base_failed and kept."""
     facts = text_facts(docs, host)
     places = line_places(docs, host).select("doc_id", "row_key", F.posexplode(F.arrays_zip("keys", "lines")).alias("place", "z"))
-    occurrences = places.select("doc_id", "row_key", "place", F.col("z.keys").alias("line_key"), word_count(F.col("z.lines")).alias("words"))
+    occurrences = places.select("row_key", "place", F.col("z.keys").alias("line_key"), line_words(F.col("z.lines")).alias("words"))
     removed = (
         occurrences.join(frequent_lines(docs, host, most), "line_key", "left_semi")
         .groupBy("row_key", "place")  # rows that are equal in all columns share their places
@@ -136,7 +143,7 @@ def remove_lines(docs: DataFrame, host: str = "source", most: int = MOST_DOCUMEN
     lines = docs.select("doc_id", "text", row_key(host).alias("row_key"), F.col(host).alias("host"))
     lines = lines.select("doc_id", "row_key", "host", F.posexplode(F.split("text", "\n")).alias("place", "line"))
     key = F.xxhash64(F.col("host").isNull(), F.col("host"), normalised(F.col("line")))
-    marked = lines.withColumn("line_key", F.when(F.length(F.translate("line", SPACES, "")) > 0, key))
+    marked = lines.withColumn("line_key", F.when(F.btrim(F.col("line"), F.lit(SPACES)) != "", key))
     found = marked.join(frequent_lines(docs, host, most).withColumnRenamed("docs", "seen"), "line_key", "left")
     # The lines of one document meet again: as many as the document has.
     whole = found.groupBy("row_key", "doc_id").agg(
