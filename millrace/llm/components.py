@@ -20,7 +20,7 @@ def components(links: DataFrame) -> DataFrame:
     while not stars(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = durable(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        large = durable(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = durable(moved.union(least.select("a", F.col("m").alias("b"))).distinct())

@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     others = F.when(F.col("size") > 2, F.array("first", "last")).otherwise(F.array("first"))
     pairs = members.select("node", "rep", F.explode(others).alias("other")).where("rep != other")
     pairs = durable(pairs.select("node", "other").distinct())
-    sets = Sets(docs, members.select(F.col("rep").alias("id")).distinct(), width)
+    sets = Sets(docs, members.select(F.col("rep").alias("id")), width)
     checked = durable(sets.check(pairs, percent))
     roots = components(checked.where("linked"))
     open_members = durable(unresolved(members.where("size > 2"), roots))
@@ -200,11 +200,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         chosen = chosen.select("key", F.col("rep").alias("other"), F.col("root").alias("other_root"))
         more = open_members.join(chosen, "key").where("root != other_root").select("node", "other").distinct()
         found = durable(sets.check(more, percent))
-        roots = components(together(roots, found))
-        open_members = durable(unresolved(open_members, roots))
-        if not open_members.isEmpty():
-            rest = remaining_pairs(open_members, nodes, checked, found, percent)
-            roots = components(together(roots, sets.check(rest, percent)))
+        rest = remaining_pairs(durable(still_open(open_members, found)), nodes, checked, found, percent)
+        last = durable(sets.check(rest, percent))
+        roots = components(together(roots, found.union(last)))
 
     placed = nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     placed = durable(placed)
@@ -231,11 +229,32 @@ def together(roots: DataFrame, found: DataFrame) -> DataFrame:
 def unresolved(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members, with their roots, of the keys whose members have more than one."""
     own = members.select("key", "number", "node", "rep", "first")
-    placed = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return with_several(own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+
+
+def with_several(placed: DataFrame) -> DataFrame:
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     return placed.join(mixed.select("key"), "key", "left_semi")
 
 
+def still_open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of keys that stay open when each root joins the linked root with the most members here.
+
+    One step of joining, not all of it: what it leaves open is only checked once more.
+    """
+    places = members.groupBy("node").agg(F.first("root").alias("root"))
+    linked = found.where("linked").select("a", "b").join(places.select(F.col("node").alias("a"), F.col("root").alias("x")), "a")
+    linked = linked.join(places.select(F.col("node").alias("b"), F.col("root").alias("y")), "b").where("x != y")
+    both = linked.select("x", "y").union(linked.select("y", "x"))
+    # A root with many members has many links: their number stands for its size.
+    size = both.groupBy("x").agg(F.count("*").alias("size"))
+    ranked = both.join(size.select(F.col("x").alias("y"), F.col("size").alias("other")), "y").join(size, "x")
+    larger = ranked.where((F.col("other") > F.col("size")) | (F.col("other") == F.col("size")) & (F.col("y") < F.col("x")))
+    joined = larger.groupBy(F.col("x").alias("root")).agg(F.max(F.struct("other", -F.col("y"))).alias("top"))
+    moved = members.join(joined, "root", "left")
+    return with_several(moved.withColumn("root", F.coalesce(-F.col("top.col2"), "root")).drop("top"))
+
+
 def remaining_pairs(members: DataFrame, nodes: DataFrame, checked: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Pairs between components of a key that were not checked, each at the first key that it shares.
 
