@@ -4,7 +4,8 @@ A pair of bytes that occurs inside no vocabulary token can never be merged acros
 place between them is a certain cut: the parts are encoded on their own and joined.
 Texts are first cut in front of spaces (a certain cut of the vocabulary at which the
 pre-tokenizer always ends a match as well), then pre-tokenized and cut again at every
-other forced pair.  Parts repeat, so their ids are remembered in a bounded table.
+other forced pair.  Each piece between cuts is merged on its own.  Parts repeat,
+so their ids are remembered in a bounded table.
 
 Null and empty texts have no ids and decode to the empty text.  Rows are independent:
 repeated rows repeat, extra columns are ignored, an empty table gives an empty table.
@@ -14,22 +15,21 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 
 from millrace.llm.common import arrow_pass, bounded, string_array
 
 # The pre-tokenizer pattern of byte-level BPE vocabularies (fixed value).
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-BEFORE_SPACE = regex.compile(r"(?<=[^\s\x1c-\x1f])(?= )")
-SPACE_BEFORE = regex.compile(r"[\s\x1c-\x1f] ")
-
-REMEMBERED = 400_000  # parts kept in the table of one worker
+REMEMBERED = 800_000  # parts kept in the table of one worker
 SHORT = 48  # bytes; longer parts are merged with a heap and not remembered
 
 
@@ -40,6 +40,22 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Known(dict):
+    """Ids of parts; a part that is missing is encoded and remembered while there is room."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, part: str) -> tuple[int, ...]:
+        ids = self.encode(part)
+        if len(part) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[part] = ids
+        return ids
+
+
 class ByteBpe:
     """Encoder and decoder over the text of a tokenizer file."""
 
@@ -67,11 +83,18 @@ class ByteBpe:
                 codes = np.frombuffer(token, np.uint8)
                 inside[codes[:-1], codes[1:]] = True
         self.inside = inside
-        solid = [b for b in range(256) if b not in b" \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0"]
-        # \x85 and \xa0 end the UTF-8 form of ordinary letters too; the cut looks at characters.
-        self.cuts_at_space = not inside[solid, 0x20].any() and not inside[[0x85, 0xA0], 0x20].any()
+        # Bytes behind which a space is no certain cut; every other solid character has one.
+        self.open_bytes = frozenset(np.flatnonzero(inside[:, 0x20]).tolist())
+        ends = b"".join(bytes([b]) for b in sorted(self.open_bytes | {*b" \t\n\x0b\f\r\x1c\x1d\x1e\x1f"}))
+        self.no_cut = re.compile(b"[" + re.escape(ends) + b"] |\xc2\x85 |\xe1\x9a\x80 |\xe2\x80[\x80-\x8a\xa8\xa9\xaf] |\xe2\x81\x9f |\xe3\x80\x80 ")
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = Known(self._part)
+        # Where ids follow the order of the merges, a piece's merges can run in compiled code.
+        order = [new for _, new in sorted(self.merges.values())]
+        self.core = None
+        if order == sorted(order) and all(i < order[0] for i in self.byte_id):
+            ranks = {t: i for i, t in enumerate(self.tokens) if t and i not in self.special.values()}
+            self.core = tiktoken.Encoding("parts", pat_str=PRETOKEN.pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe
 
     def encode(self, text: str) -> list[int]:
         if self.split_special and any(s in text for s in self.special):
@@ -86,50 +109,50 @@ class ByteBpe:
 
     def fragments(self, text: str) -> list[str]:
         """The text cut in front of every space that follows a solid character."""
-        if not self.cuts_at_space:
-            return [text]
-        if SPACE_BEFORE.search(text) or text[:1] == " ":
-            return BEFORE_SPACE.split(text)
         first, *rest = text.split(" ")
-        return [first, *[" " + r for r in rest]]
+        if first and not self.no_cut.search(text.encode()):
+            return [first, *[" " + r for r in rest]]
+        out, whole = [first], self._solid(first)
+        for r in rest:
+            if whole:
+                out.append(" " + r)
+            else:
+                out[-1] += " " + r
+            whole = self._solid(r)
+        return out
+
+    def _solid(self, piece: str) -> bool:
+        """Whether a cut behind this piece is certain."""
+        return piece != "" and not piece[-1].isspace() and piece[-1].encode()[-1] not in self.open_bytes
 
     def _plain(self, text: str) -> list[int]:
         if not text:
             return []
-        known = self.known
-        parts = self.fragments(text)
-        try:
-            return list(chain.from_iterable(map(known.__getitem__, parts)))
-        except KeyError:
-            pass
-        out: list[int] = []
-        for part in parts:
-            ids = known.get(part)
-            if ids is None:
-                ids = self._part(part)
-                if len(part) <= SHORT:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[part] = ids
-            out.extend(ids)
-        return out
+        return list(chain.from_iterable(map(self.known.__getitem__, self.fragments(text))))
 
     def _part(self, part: str) -> tuple[int, ...]:
         out: list[int] = []
         for token in PRETOKEN.findall(part):
             codes = token.encode()
-            if len(codes) == 1:
-                out.append(self.byte_id[codes[0]])
+            if len(codes) <= 3:  # too short for a cut to pay
+                out.extend(self._merged(codes))
                 continue
             array = np.frombuffer(codes, np.uint8)
             cuts = np.flatnonzero(~self.inside[array[:-1], array[1:]]) + 1
             start = 0
             for end in [*cuts.tolist(), len(codes)]:
                 piece = codes[start:end]
-                out.extend(self._scan(piece) if len(piece) <= SHORT else self._heap(piece))
+                out.extend(self._merged(piece))
                 start = end
         return tuple(out)
 
+    def _merged(self, piece: bytes) -> list[int]:
+        if len(piece) == 1:
+            return [self.byte_id[piece[0]]]
+        if len(piece) > SHORT:
+            return self._heap(piece)
+        return self.core.encode_single_piece(piece) if self.core else self._scan(piece)
+
     def _scan(self, piece: bytes) -> list[int]:
         """Merge the leftmost pair of lowest rank until none is left."""
         ids = [self.byte_id[b] for b in piece]

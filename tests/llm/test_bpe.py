@@ -62,6 +62,7 @@ def test_heap_equals_scan(ours):
     for _ in range(200):
         piece = bytes(rng.choice(b"aeinorst th") for _ in range(rng.randint(1, 60)))
         assert ours._heap(piece) == ours._scan(piece)
+        assert ours._merged(piece) == ours._scan(piece)
 
 
 def test_cuts_are_certain(ours):
