@@ -82,7 +82,7 @@ class ByteBpe:
             if i not in self.special.values() and len(token) > 1:
                 codes = np.frombuffer(token, np.uint8)
                 inside[codes[:-1], codes[1:]] = True
-        self.inside = inside
+        self.inside, self.joins = inside, inside.tobytes()
         # Bytes behind which a space is no certain cut; every other solid character has one.
         self.open_bytes = frozenset(np.flatnonzero(inside[:, 0x20]).tolist())
         ends = b"".join(bytes([b]) for b in sorted(self.open_bytes | {*b" \t\n\x0b\f\r\x1c\x1d\x1e\x1f"}))
@@ -137,10 +137,9 @@ class ByteBpe:
             if len(codes) <= 3:  # too short for a cut to pay
                 out.extend(self._merged(codes))
                 continue
-            array = np.frombuffer(codes, np.uint8)
-            cuts = np.flatnonzero(~self.inside[array[:-1], array[1:]]) + 1
-            start = 0
-            for end in [*cuts.tolist(), len(codes)]:
+            joins, start = self.joins, 0
+            cuts = [i for i, (a, b) in enumerate(zip(codes, codes[1:]), 1) if not joins[a << 8 | b]]
+            for end in [*cuts, len(codes)]:
                 piece = codes[start:end]
                 out.extend(self._merged(piece))
                 start = end
