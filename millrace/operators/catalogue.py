@@ -87,9 +87,13 @@ def related_collections(collections: DataFrame) -> DataFrame:
 
 def republish_set(records: DataFrame, ids: DataFrame, key: str, empty_means_all: bool = False) -> DataFrame:
     """Records to announce again: those asked for, or all where an empty list means all."""
-    if empty_means_all and ids.isEmpty():
-        return records
-    return records.join(ids.select(key), key, "left_semi")
+    asked = ids.select(F.col(key).alias("asked"))
+    if not empty_means_all:
+        return records.join(asked, records[key] == F.col("asked"), "left_semi")
+    # one row says whether the list is empty; the join brings it to every record
+    some = asked.agg((F.count(F.lit(1)) > 0).alias("some"))
+    named = records.join(asked.distinct().withColumn("named", F.lit(True)), records[key] == F.col("asked"), "left")
+    return named.join(some).where(~F.col("some") | F.col("named")).select(*records.columns)
 
 
 def upsert_link(links: Column, kind: Column, url: Column) -> Column:

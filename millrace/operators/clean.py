@@ -130,11 +130,12 @@ def _step(state: Column, tool: Column, source: Column) -> Column:
     outcome = F.lit("")
     for name, function in LIST_TOOLS.items():
         outcome = F.when(tool == name, function(given)).otherwise(outcome)
-    new_text = (
-        F.when(cleaning, F.coalesce(F.nullif(X.strip(outcome), F.lit("")), state["text"]))
-        .when(tool == LOOKUP_TOOL, F.lit(""))
-        .otherwise(state["text"])
-    )
+    def taken(stripped: Column) -> Column:
+        return (
+            F.when(cleaning & (stripped != ""), stripped)
+            .when(tool == LOOKUP_TOOL, F.lit(""))
+            .otherwise(state["text"])
+        )
 
     def judged(new: Column) -> Column:
         listed = cleaning | (tool == LOOKUP_TOOL)
@@ -150,5 +151,6 @@ def _step(state: Column, tool: Column, source: Column) -> Column:
             .alias("status"),
         )
 
-    # a one-element transform gives the new text a name, so it is computed once
-    return F.transform(F.array(new_text), judged)[0]
+    # one-element transforms give the stripped outcome and the new text a name, so each is computed once
+    new_text = F.transform(F.array(X.strip(outcome)), taken)
+    return F.transform(new_text, judged)[0]

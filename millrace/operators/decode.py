@@ -20,10 +20,22 @@ from millrace.schemas import ENUMS, EXTRACTION_DDL, OPTIONAL_FIELDS, RECORD_STRU
 INSTANT = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9:.]+(?:[Zz]|[+-][0-9]{2}:?[0-9]{2})\z"
 
 
+def strict_json(text: Column) -> Column:
+    """The JSON value that makes up the whole text; null if anything follows it.
+
+    The parser stops at the end of a value.  Inside brackets and inside an object what
+    follows has to fit as well, and no text can close both.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    whole = named.isNotNull() & (F.size(F.try_variant_get(listed, "$", "array<variant>")) == 1)
+    return F.when(whole, F.try_parse_json(text))
+
+
 def decode_messages(messages: DataFrame) -> DataFrame:
     """Add ``text``, ``payload`` and ``items``; null where a step failed."""
     read = once(messages, text=F.try_validate_utf8(F.col("value").cast("string")))
-    return once(once(read, payload=F.try_parse_json("text")), items=unwrap(F.col("payload")))
+    return once(once(read, payload=strict_json(F.col("text"))), items=unwrap(F.col("payload")))
 
 
 def unwrap(payload: Column) -> Column:

@@ -14,7 +14,7 @@ from millrace.functions import chunks as C
 from millrace.functions.plan import once
 from millrace.functions.text import SPACE
 from millrace.operators.clean import LIST_TOOLS, LOOKUP_TOOL, tool_summary
-from millrace.operators.decode import as_chunks, exact_keys
+from millrace.operators.decode import as_chunks, exact_keys, strict_json
 from millrace.schemas import CATEGORIES
 
 CLEAN_SYSTEM = (
@@ -71,7 +71,7 @@ def repair_text(error: str) -> str:
 def syntax_error(answer: Column) -> Column:
     """What is wrong with an answer that is no JSON; null where it parses."""
     return F.when(
-        F.try_parse_json(answer).isNull(), F.concat(F.lit("no JSON value in "), F.char_length(answer), F.lit(" characters"))
+        strict_json(answer).isNull(), F.concat(F.lit("no JSON value in "), F.char_length(answer), F.lit(" characters"))
     )
 
 
@@ -103,7 +103,7 @@ def parse_answer(answer: Column) -> Column:
 def _verdict(answer: Column, maps: Column) -> Column:
     return (
         F.when(answer.isNull() | (answer == ""), "no_answer")
-        .when(F.try_parse_json(answer).isNull(), "bad_syntax")
+        .when(strict_json(answer).isNull(), "bad_syntax")
         .when(maps.isNull(), "not_a_list")
         .when(F.exists(maps, lambda m: m.isNull()), "not_a_list")
         .when(~exact_keys(maps), "wrong_keys")
@@ -118,7 +118,7 @@ def resolve(answers: DataFrame, first: str = "first_answer", second: str = "seco
     Only a syntax error makes the second answer count, and its failure is final.
     ``chunks`` is null unless the deciding answer is a list with exact keys.
     """
-    broken = (F.col(first) != "") & F.try_parse_json(F.col(first)).isNull()
+    broken = (F.col(first) != "") & strict_json(F.col(first)).isNull()
     judged = once(answers, attempts=F.when(broken, 2).otherwise(1))
     judged = judged.withColumn("answer", F.when(F.col("attempts") == 2, F.col(second)).otherwise(F.col(first)))
     judged = once(judged, maps=parse_answer(F.col("answer")))
@@ -130,14 +130,12 @@ def resolve(answers: DataFrame, first: str = "first_answer", second: str = "seco
 def quarantine(resolved: DataFrame, key: str) -> DataFrame:
     """Raw text of unusable answers: other faults of the first try, syntax of the second.
 
-    An absent answer leaves nothing to keep.
+    An absent answer leaves nothing to keep, nor does a second answer of the wrong shape.
     """
     stage = F.when(F.col("attempts") == 1, "first").otherwise("second")
     first_fault = (F.col("attempts") == 1) & F.col("status").isin("not_a_list", "wrong_keys")
     second_fault = (F.col("attempts") == 2) & F.col("status").isin("bad_syntax")
-    # a second answer of the wrong shape is traced back to the first try's text
-    shape_fault = (F.col("attempts") == 2) & F.col("status").isin("not_a_list", "wrong_keys")
-    return resolved.filter(first_fault | second_fault | shape_fault).select(key, stage.alias("stage"), "status", "answer")
+    return resolved.filter(first_fault | second_fault).select(key, stage.alias("stage"), "status", "answer")
 
 
 def attempt_log(resolved: DataFrame, key: str, first: str = "first_answer") -> DataFrame:
@@ -202,14 +200,15 @@ def call_model(
     messages: str = "messages",
     factory: ModelFactory = rule_model,
     repair: bool = True,
-    batch_seconds: float | None = None,
+    row_seconds: float | None = 60.0,
 ) -> DataFrame:
     """Send every row's messages to the model, batch by Arrow batch.
 
     The model is built once per task.  A row whose answer is no JSON is asked again in
     the same pass, with the repair message added: the costly call is never repeated by
     a second branch of the plan.  A batch that fails or takes longer than
-    ``batch_seconds`` gives null answers and an error text instead of ending the job.
+    ``row_seconds`` a row is asked again row by row; a row that then fails or takes longer
+    has a null answer and an error text, and no row costs another its answer.
     Rows keep their partitioning; order filters before this step, as Catalyst moves
     none through it.
     """
@@ -220,7 +219,7 @@ def call_model(
         model = factory()
         for frame in frames:
             batch = [[_plain(m) for m in row] for row in frame[messages]]
-            first, error = _guarded(model, batch, batch_seconds)
+            first, errors = _guarded(model, batch, row_seconds)
             second: list[str | None] = [None] * len(batch)
             again = [i for i, text in enumerate(first) if repair and text and _json_problem(text)]
             if again:
@@ -232,11 +231,10 @@ def call_model(
                     ]
                     for i in again
                 ]
-                fixed, second_error = _guarded(model, retry, batch_seconds)
-                error = error or second_error
-                for i, text in zip(again, fixed):
-                    second[i] = text
-            yield pd.DataFrame({key: frame[key], "first_answer": first, "second_answer": second, "error": error})
+                fixed, problems = _guarded(model, retry, row_seconds)
+                for i, text, problem in zip(again, fixed, problems):
+                    second[i], errors[i] = text, errors[i] or problem
+            yield pd.DataFrame({key: frame[key], "first_answer": first, "second_answer": second, "error": errors})
 
     return wanted.mapInPandas(run, schema)
 
@@ -253,7 +251,18 @@ def _json_problem(text: str) -> str | None:
         return str(problem)
 
 
-def _guarded(model: Model, batch: list[list[dict]], seconds: float | None) -> tuple[list[str | None], str | None]:
+def _guarded(model: Model, batch: list[list[dict]], seconds: float | None) -> tuple[list[str | None], list[str | None]]:
+    """Answers and errors by row: the batch in one call, or row by row where that fails."""
+    answers, problem = _within(model, batch, seconds and seconds * len(batch))
+    if problem is None:
+        return answers, [None] * len(batch)
+    if len(batch) == 1:
+        return [None], [problem]
+    rows = [_within(model, [row], seconds) for row in batch]
+    return [found[0] if found else None for found, _ in rows], [problem for _, problem in rows]
+
+
+def _within(model: Model, batch: list[list[dict]], seconds: float | None) -> tuple[list[str | None], str | None]:
     from concurrent.futures import ThreadPoolExecutor
     from concurrent.futures import TimeoutError as Expired
 
@@ -261,8 +270,8 @@ def _guarded(model: Model, batch: list[list[dict]], seconds: float | None) -> tu
     try:
         return list(pool.submit(model, batch).result(timeout=seconds)), None
     except Expired:
-        return [None] * len(batch), f"model call took longer than {seconds} seconds"
+        return [], f"model call took longer than {seconds} seconds"
     except Exception as problem:  # a failing model must not fail its siblings
-        return [None] * len(batch), f"{type(problem).__name__}: {problem}"
+        return [], f"{type(problem).__name__}: {problem}"
     finally:
         pool.shutdown(wait=False, cancel_futures=True)

@@ -46,17 +46,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(table(spark, sf_dir, name))
-
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores when their files give fewer splits.
-
-    Cleaning and decoding are bound by CPU, and a small file is one split.  A large
-    table has more splits than cores and is read as it is, with no shuffle.
-    """
-    lanes = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(lanes) if rows.rdd.getNumPartitions() < lanes else rows
+    return table(spark, sf_dir, name)
 
 
 def minutes_after_base(minutes: Column) -> Column:
@@ -132,7 +122,7 @@ CASE WHEN event_id % 16 < 7 THEN '{"data":[' || item || ']}'
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change events as broker messages in all shapes, good and bad."""
     bad = F.unhex(F.lit("FF"))
-    stamped = spread(events(spark, sf_dir)).withColumn("iso", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    stamped = events(spark, sf_dir).withColumn("iso", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
     shaped = once(once(stamped, item=F.expr(EVENT_ITEM_SQL)), body=F.expr(EVENT_VALUE_SQL))
     tag = F.col("event_id").cast("string")
     header = lambda name, value: F.struct(F.lit(name).alias("key"), value.alias("value"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
 import uuid
+import zipfile
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -41,12 +43,27 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
+    """Apply the runtime settings to a session somebody else built, and give its workers this package."""
+    ship_package(spark)
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the Python workers once, so that no worker depends on the driver's path."""
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="millrace-")) / "millrace_package.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._millrace_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -62,7 +64,25 @@ def decoded_items(messages: DataFrame) -> DataFrame:
     return decode.check_items(decode.fan_out(decoded, "topic", "partition", "offset"))
 
 
-def write_index_batch(batch: DataFrame, batch_id: int, path: str, key: str = "id") -> None:
+BASE_RUN = "00000-base"
+
+
+def index_run(spark: SparkSession, path: str, checkpoint: str) -> str:
+    """Folder name of a stream's run in an index log: its place in the order, and its checkpoint.
+
+    A stream that starts again with its checkpoint finds its own run.  Another checkpoint
+    gets the next number, so no stream writes where another one, or the compaction, wrote.
+    """
+    own = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []
+    runs = sorted(n.removeprefix("run=") for n in names if n.startswith("run="))
+    mine = [r for r in runs if r.endswith(f"-{own}")]
+    return mine[0] if mine else f"{max([int(r.split('-')[0]) for r in runs], default=0) + 1:05}-{own}"
+
+
+def write_index_batch(batch: DataFrame, batch_id: int, path: str, run: str, key: str = "id") -> None:
     """Add one trigger's rows to an index kept as a log of batches.
 
     The batch is reduced to one row per id and written to its own folder; nothing that
@@ -70,25 +90,27 @@ def write_index_batch(batch: DataFrame, batch_id: int, path: str, key: str = "id
     """
     columns = [c for c in batch.columns if c != key]
     newest = batch.groupBy(key).agg(F.max_by(F.struct(*columns), "version").alias("row")).select(key, "row.*")
-    newest.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    newest.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
 
 
 def read_index(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
-    """Current index: per id the row of the newest batch that has it."""
+    """Current index: per id the row of the newest batch of the newest run that has it."""
     log = spark.read.option("basePath", path).parquet(path)
     columns = [c for c in log.columns if c != key]
-    return log.groupBy(key).agg(F.max_by(F.struct(*columns), "batch").alias("row")).select(key, "row.*")
+    return log.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct("run", "batch")).alias("row")).select(key, "row.*")
 
 
 def compact_index(spark: SparkSession, path: str, target: str, key: str = "id") -> None:
-    """Write the current index as the first batch of a new log, to shorten reads."""
-    read_index(spark, path, key).drop("batch").write.mode("errorifexists").parquet(f"{target}/batch=0")
+    """Write the current index as the base of a new log, which no stream writes to."""
+    current = read_index(spark, path, key).drop("run", "batch")
+    current.write.mode("errorifexists").parquet(f"{target}/run={BASE_RUN}/batch=0")
 
 
 def index_stream(requests: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    run = index_run(requests.sparkSession, path, checkpoint)
     return (
         requests.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(lambda batch, batch_id: write_index_batch(batch, batch_id, path))
+        .foreachBatch(lambda batch, batch_id: write_index_batch(batch, batch_id, path, run))
         .start()
     )

@@ -170,7 +170,7 @@ def test_model_repair_failure_and_timeout(spark):
     def slow():
         return lambda batch: time.sleep(3) or ["[]"] * len(batch)
 
-    rows = infer.call_model(frame.limit(1), "id", factory=slow, batch_seconds=0.2).collect()
+    rows = infer.call_model(frame.limit(1), "id", factory=slow, row_seconds=0.2).collect()
     assert rows[0]["first_answer"] is None and "longer" in rows[0]["error"]
 
 
@@ -309,6 +309,14 @@ def test_message_files_stream_and_index(spark, tmp_path):
     assert current == {"a": "second", "n1": "t", "n2": "t"}
     jobs.compact_index(spark, f"{tmp_path}/index", f"{tmp_path}/compact")
     assert jobs.read_index(spark, f"{tmp_path}/compact").count() == 3
+    late = jobs.decoded_items(M.file_stream(spark, f"{tmp_path}/in/*", files_per_trigger=1)).filter("id = 'a'")
+    late = late.select("id", F.col("offset").alias("version"), F.lit("late").alias("title"))
+    for _ in range(2):  # the second start finds nothing new and the same run
+        jobs.index_stream(late, f"{tmp_path}/compact", f"{tmp_path}/other").awaitTermination()
+    merged = {r["id"]: r["title"] for r in jobs.read_index(spark, f"{tmp_path}/compact").collect()}
+    assert merged == {"a": "late", "n1": "t", "n2": "t"}
+    assert jobs.index_run(spark, f"{tmp_path}/compact", f"{tmp_path}/other").startswith("00001-")
+    assert jobs.index_run(spark, f"{tmp_path}/compact", f"{tmp_path}/third").startswith("00002-")
 
 
 def test_stream_versions_across_triggers(spark, tmp_path):
@@ -323,3 +331,38 @@ def test_stream_versions_across_triggers(spark, tmp_path):
     assert sorted((r["batch"], r["id"], r["version_us"] // 10**6) for r in out) == [
         (0, "a", 5), (0, "b", 1), (2, "b", 2), (2, "c", 3),
     ]
+
+
+def test_one_row_costs_no_other_its_answer(spark):
+    rows = [(f"r{i}", [{"role": "system", "content": ""}, {"role": "user", "content": str(i)}]) for i in range(6)]
+    frame = spark.createDataFrame(rows, "id string, messages array<struct<role:string,content:string>>").coalesce(1)
+
+    def factory():
+        def model(batch):
+            if any(messages[1]["content"] == "3" for messages in batch):
+                raise ValueError("no")
+            return ["[]" for _ in batch]
+
+        return model
+
+    got = {r.id: (r.first_answer, r.error) for r in infer.call_model(frame, "id", factory=factory).collect()}
+    assert got.pop("r3") == (None, "ValueError: no")
+    assert set(got.values()) == {("[]", None)} and len(got) == 5
+
+
+def test_json_must_end_with_its_value(spark):
+    cases = {
+        '[{"a": 1}]': True, '[{"a": 1}] Hope this helps!': False, '{"data": []} trailing': False, "1, 2": False, "1] x": False,
+        "1} x": False, " [1] ": True, "": False, "null": True, "[1": False, "[1][2]": False,
+    }
+    frame = spark.createDataFrame([(c,) for c in cases], "t string")
+    got = {r.t: r.ok for r in frame.select("t", decode.strict_json(F.col("t")).isNotNull().alias("ok")).collect()}
+    assert got == cases
+
+
+def test_republish_without_a_list(spark):
+    records = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "id string, v int")
+    ids = spark.createDataFrame([("a",), ("a",), ("z",)], "id string")
+    found = lambda ids, all_: sorted(r.v for r in catalogue.republish_set(records, ids, "id", all_).collect())
+    assert found(ids, True) == found(ids, False) == [1]
+    assert found(ids.limit(0), True) == [1, 2, 3] and found(ids.limit(0), False) == []

@@ -97,3 +97,10 @@ def test_sql_functions_equal_column_functions(spark):
     for name in catalog.sql_bodies():
         both = frame.select(F.expr(f"{name}(t)").alias("a"), catalog.column_function(name, "t").alias("b")).collect()
         assert all(r["a"] == r["b"] for r in both), name
+
+
+def test_symbols_that_are_no_emoji_stay(spark):
+    keep = "★ ✓ ♩ ➔ \U0001f0a1 \U0001f701"
+    frame = spark.createDataFrame([(keep, "a✔️b☀c\U0001f389d❤e")], "keep string, drop string")
+    row = frame.select(X.strip_emoji(F.col("keep")).alias("k"), X.strip_emoji(F.col("drop")).alias("d")).first()
+    assert (row.k, row.d) == (keep, "abcde")
