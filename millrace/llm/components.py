@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.common import durable
 
+LINKS_PER_PART, LEAST_PARTS = 100_000, 8
+
 
 def components(links: DataFrame) -> DataFrame:
     """node, root (the smallest node reachable) for every node of ``links`` (a, b) with a root other than itself.
@@ -17,13 +19,18 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = durable(edges.distinct())
+    # Links are few beside the documents: so many partitions that each holds enough of them.
+    parts = max(LEAST_PARTS, -(-edges.count() // LINKS_PER_PART))
+    edges = edges.coalesce(parts)
     while not stars(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = durable(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = durable(large.coalesce(parts))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = durable(moved.union(least.select("a", F.col("m").alias("b"))).distinct())
+        edges = moved.coalesce(parts).union(least.select("a", F.col("m").alias("b")).coalesce(parts)).distinct()
+        edges = durable(edges.coalesce(parts))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 

@@ -8,9 +8,9 @@ similarity of 0.8 shares none with a chance of 0.345 ** 10, about 2 in 100,000.
 
 Documents with equal sets are one class with one entry in the index.  The pairs of a key
 are never all made.  Every member of a key is compared, on full sets, with the key's first and
-last class; where the members of a key still lie in several components, with one more; and then
-the pairs between components that can still be similar are checked one by one, each pair at
-the first key that it shares.  So no link is lost and a group of near copies costs some checks per
+last class; where the members of a key still lie in several components, the pairs between
+components that two bounds do not rule out are checked one by one, each pair at the first
+key that it shares.  So no link is lost and a group of near copies costs some checks per
 member.  Sets are read again for the classes that have a pair, found by a bitmap of fixed size.
 
 Shingles are distinct runs of words after A-Z is lower-cased; with fewer words the whole
@@ -37,6 +37,8 @@ NULL_ID = -(2**63)
 # Odd multipliers of the minhashes, from a fixed stream.
 FACTORS = mix(np.arange(1, PLACES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 COLUMNS = [f"c{i}" for i in range(CHUNKS)]
+# An outline has one bit for each residue of the shingle hashes, in 16 numbers.
+OUTLINE = [f"o{i}" for i in range(16)]
 
 
 def shingles(text: str, width: int) -> np.ndarray:
@@ -158,6 +160,20 @@ class Sets:
         kind = "a long, b long, other long, both long, linked boolean"
         return arrow_pass(joined.select("node", "b", "other", "cells", "with"), kind, make)
 
+    def outlines(self, members: DataFrame) -> DataFrame:
+        """node and the outline of its set, for the classes of ``members``."""
+        classes = self.table.join(members.select("node", "rep").distinct(), ["node", "rep"])
+
+        def make():
+            def run(batch: pa.RecordBatch) -> dict:
+                rows = np.array([outline(long_cells(x.as_py())) for x in batch.column("cells")])
+                return {"node": batch.column("node")} | {c: pa.array(rows[:, i]) for i, c in enumerate(OUTLINE)}
+
+            return run
+
+        kind = "node long, " + ", ".join(f"{c} long" for c in OUTLINE)
+        return arrow_pass(classes.select("node", "cells"), kind, make)
+
 
 def short_cells(own: np.ndarray) -> bytes:
     """The upper 48 bits of each hash; two shingles of a pair of sets agree in them once in 10**8 pairs."""
@@ -170,6 +186,12 @@ def long_cells(data: bytes) -> np.ndarray:
     return cells.view(np.uint64).ravel()
 
 
+def outline(cells: np.ndarray) -> np.ndarray:
+    bits = np.zeros(64 * len(OUTLINE), np.uint8)
+    bits[cells % np.uint64(len(bits))] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def common(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     """Size of the intersection, and of both sets."""
     return len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b)
@@ -193,16 +215,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     roots = components(checked.where("linked"))
     open_members = durable(unresolved(members.where("size > 2"), roots))
     if not open_members.isEmpty():
-        # Members outside of their key's largest component get one more pivot for each key.
-        drawn = F.xxhash64("key", "node")
-        pivots = open_members.groupBy("key").agg(F.min(drawn).alias("draw"))
-        chosen = open_members.join(pivots, "key").where(drawn == F.col("draw"))
-        chosen = chosen.select("key", F.col("rep").alias("other"), F.col("root").alias("other_root"))
-        more = open_members.join(chosen, "key").where("root != other_root").select("node", "other").distinct()
-        found = durable(sets.check(more, percent))
-        rest = remaining_pairs(durable(still_open(open_members, found)), nodes, checked, found, percent)
-        last = durable(sets.check(rest, percent))
-        roots = components(together(roots, found.union(last)))
+        rest = remaining_pairs(open_members, nodes, sets.outlines(open_members), checked, percent)
+        found = sets.check(durable(rest), percent).where("linked").select("a", "b")
+        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(known.union(found))
 
     placed = nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     placed = durable(placed)
@@ -220,66 +236,47 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
-def together(roots: DataFrame, found: DataFrame) -> DataFrame:
-    """The links of the components known so far and newly confirmed ones."""
-    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return known.union(found.where("linked").select("a", "b"))
-
-
 def unresolved(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members, with their roots, of the keys whose members have more than one."""
     own = members.select("key", "number", "node", "rep", "first")
-    return with_several(own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-
-
-def with_several(placed: DataFrame) -> DataFrame:
+    placed = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     return placed.join(mixed.select("key"), "key", "left_semi")
 
 
-def still_open(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of keys that stay open when each root joins the linked root with the most members here.
-
-    One step of joining, not all of it: what it leaves open is only checked once more.
-    """
-    places = members.groupBy("node").agg(F.first("root").alias("root"))
-    linked = found.where("linked").select("a", "b").join(places.select(F.col("node").alias("a"), F.col("root").alias("x")), "a")
-    linked = linked.join(places.select(F.col("node").alias("b"), F.col("root").alias("y")), "b").where("x != y")
-    both = linked.select("x", "y").union(linked.select("y", "x"))
-    # A root with many members has many links: their number stands for its size.
-    size = both.groupBy("x").agg(F.count("*").alias("size"))
-    ranked = both.join(size.select(F.col("x").alias("y"), F.col("size").alias("other")), "y").join(size, "x")
-    larger = ranked.where((F.col("other") > F.col("size")) | (F.col("other") == F.col("size")) & (F.col("y") < F.col("x")))
-    joined = larger.groupBy(F.col("x").alias("root")).agg(F.max(F.struct("other", -F.col("y"))).alias("top"))
-    moved = members.join(joined, "root", "left")
-    return with_several(moved.withColumn("root", F.coalesce(-F.col("top.col2"), "root")).drop("top"))
-
-
-def remaining_pairs(members: DataFrame, nodes: DataFrame, checked: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+def remaining_pairs(members: DataFrame, nodes: DataFrame, outlines: DataFrame, checked: DataFrame, percent: int) -> DataFrame:
     """Pairs between components of a key that were not checked, each at the first key that it shares.
 
-    Both members of a pair were compared with the key's first class p, so x and y have at
-    most min(|x & p|, |y & p|) + min(|x - p|, |y - p|) shingles in common; pairs that cannot
-    reach the wanted similarity are left out.
+    Pairs that cannot reach the wanted similarity are left out, by two bounds.  Both members
+    were compared with the key's first class p, so they have at most min(|x & p|, |y & p|) +
+    min(|x - p|, |y - p|) shingles in common; and every bit in which their outlines differ
+    stands for a shingle that only one of them has.
     """
     known = checked.select(F.col("a").alias("node"), F.col("other").alias("first"), "both").distinct()
-    full = members.join(nodes.select("node", "n_shingles", *COLUMNS), "node").join(known, ["node", "first"], "left")
+    full = members.join(nodes.select("node", "n_shingles", *COLUMNS), "node").join(outlines, "node")
+    full = full.join(known, ["node", "first"], "left")
     full = full.withColumn("both", F.when(F.col("rep") == F.col("first"), F.col("n_shingles")).otherwise(F.col("both")))
     # Rows that repeat an id with another text may have met the first id under another class.
     full = full.withColumn("inside", F.coalesce("both", "n_shingles")).withColumn("outside", F.coalesce(F.col("n_shingles") - F.col("both"), "n_shingles"))
+    # None of these is null; saying so keeps the join's condition short enough to be compiled.
+    used = ["number", "node", "rep", "root", "n_shingles", "inside", "outside", *COLUMNS, *OUTLINE]
+    full = full.select("key", *[F.coalesce(c, F.lit(0)).alias(c) for c in used])
     x, y = full.alias("x"), full.alias("y")
+    sizes = F.col("x.n_shingles") + F.col("y.n_shingles")
     most = F.least("x.inside", "y.inside") + F.least("x.outside", "y.outside")
+    apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in OUTLINE), F.lit(0))
     fits = (
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.node") < F.col("y.node"))
         & (F.col("x.root") != F.col("y.root"))
         & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
-        & (100 * most >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles") - most))
+        & (100 * most >= percent * (sizes - most))
+        # With at most (sizes - apart) / 2 shingles in common, at least (sizes + apart) / 2 are in the union.
+        & (100 * (sizes - apart) >= percent * (sizes + apart))
         & ~shared_before(F.col("x.number"))
     )
     pairs = x.join(y, fits).select(F.col("x.node").alias("node"), F.col("y.node").alias("b"), F.col("y.rep").alias("other"))
-    done = checked.select("a", "b").union(found.select("a", "b"))
-    done = done.select(F.least("a", "b").alias("node"), F.greatest("a", "b").alias("b")).distinct()
+    done = checked.select(F.least("a", "b").alias("node"), F.greatest("a", "b").alias("b")).distinct()
     return pairs.join(done, ["node", "b"], "left_anti").select("node", "other")
 
 
