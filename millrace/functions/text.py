@@ -183,6 +183,11 @@ def json_escape(text: Column) -> Column:
     return F.array_join(F.transform(runs, escape_run), "")
 
 
+def json_unescape(body: Column) -> Column:
+    """The text that a JSON string literal without its quotes stands for; null if it is none."""
+    return F.from_json(F.concat(F.lit('{"v":"'), body, F.lit('"}')), "v string")["v"]
+
+
 def clean_text(text: Column) -> Column:
     """Markdown, then HTML, then emoji: readable text, newlines still real."""
     return strip_emoji(clean_html(clean_markdown(F.coalesce(text, F.lit("")))))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as X
 from millrace.functions.plan import once
-from millrace.operators import clean, decode, dedup, infer, ledger, shape
+from millrace.operators import chunk, clean, decode, dedup, infer, ledger, shape
 from millrace.plans import feeds
 from millrace.plans import oracle_feeds as O
 from millrace.plans.registry import query
@@ -50,21 +50,22 @@ def source_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    O.sql("""SELECT doc_id, list_sort(json_keys(list[1])) IS NOT DISTINCT FROM ['category', 'content'] OR len(list) = 0 AS exact_keys,
-               CASE WHEN list_sort(json_keys(list[1])) IS NOT DISTINCT FROM ['category', 'content'] OR len(list) = 0 THEN len(list) ELSE -1 END AS n_chunks
-             FROM (SELECT doc_id, CAST(CAST(first_answer AS JSON) AS JSON[]) AS list FROM f_answered
-                   WHERE json_valid(first_answer) AND json_type(first_answer) = 'ARRAY')""")
+    O.sql("""SELECT doc_id, good AS exact_keys, CASE WHEN good THEN len(list) ELSE -1 END AS n_chunks
+             FROM (SELECT *, coalesce(len(list) = 0 OR list_sort(json_keys(list[1])) = ['category', 'content'], false) AS good
+                   FROM (SELECT doc_id, CASE WHEN json_valid(first_answer) AND json_type(first_answer) = 'ARRAY'
+                                        THEN CAST(CAST(first_answer AS JSON) AS JSON[]) END AS list FROM f_answered))""")
 )
 def source_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    answers = feeds.answered(spark, sf_dir).filter(F.col("first_answer").startswith("[") & F.try_parse_json("first_answer").isNotNull())
+    """Every answer as a chunk result, also those that no decoder can read."""
+    answers = feeds.answered(spark, sf_dir)
     value = F.concat(
         F.lit('{"record":{"id":"'), F.col("doc_id").cast("string"), F.lit('"},"chunks":'), "first_answer", F.lit("}")
     )
     messages = answers.select("doc_id", F.encode(value, "UTF-8").alias("value"))
     read = decode.decode_chunk_results(messages, "doc_id")
     return read.select(
-        "doc_id", "exact_keys", F.coalesce(F.size("chunks"), F.lit(-1)).cast("long").alias("n_chunks")
-    ).withColumn("n_chunks", F.when(F.col("exact_keys"), F.col("n_chunks")).otherwise(F.lit(-1).cast("long")))
+        "doc_id", "exact_keys", F.when(F.col("exact_keys"), F.size("chunks")).otherwise(-1).cast("long").alias("n_chunks")
+    )
 
 
 @query(
@@ -198,12 +199,11 @@ def collapse_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _old_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Versions processed by an earlier run: the last ``view`` of every id before mid-month."""
-    seen = feeds.events(spark, sf_dir).filter("event_type = 'view' AND ts < TIMESTAMP '2024-01-04'")
-    return seen.groupBy("id").agg(F.max("ts").alias("version"))
+    """Versions processed by an earlier run: the time of every id's first event."""
+    return feeds.events(spark, sf_dir).groupBy("id").agg(F.min("ts").alias("version"))
 
 
-_OLD_LEDGER = "SELECT id, max(ts) AS version FROM f_events WHERE event_type = 'view' AND ts < TIMESTAMP '2024-01-04' GROUP BY id"
+_OLD_LEDGER = "SELECT id, min(ts) AS version FROM f_events GROUP BY id"
 
 
 @query(
@@ -346,6 +346,27 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    O.sql(
+        """SELECT r.id, c.n_chunks, c.chunk_chars, md5(r.content) AS text_md5
+           FROM f_read r JOIN (SELECT doc_id, count(*) AS n_chunks, CAST(sum(length(content)) AS BIGINT) AS chunk_chars
+                               FROM f_read_chunk_rows GROUP BY doc_id) c USING (doc_id)""",
+        **_READ,
+    )
+)
+def staged_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain over its messages: publish the cleaned text, decode the message, chunk what it says."""
+    sent = clean.drop_blank(_extractions(spark, sf_dir), "extraction_text").withColumn("record", feeds.record_struct())
+    messages = sinks.result_messages(sent, "id", sinks.extraction_value(F.col("record")))
+    read = decode.decode_extractions(messages)
+    kept = read.select(F.col("record.id").alias("id"), "text").filter(~X.is_blank(F.col("text")))
+    chunked = chunk.with_chunks(kept, "text")
+    sizes = F.aggregate("chunks", F.lit(0).cast("long"), lambda acc, c: acc + F.char_length(c["content"]))
+    return chunked.select(
+        "id", F.size("chunks").cast("long").alias("n_chunks"), sizes.alias("chunk_chars"), F.md5("text").alias("text_md5")
+    )
+
+
 @query(
     O.sql(
         f"""SELECT id, CASE WHEN NOT usable THEN 'chunking-failed' WHEN doc_id % 23 = 5 OR NOT filled THEN 'embedding-failed'

@@ -310,16 +310,18 @@ def keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT p_type AS facet, p_partkey AS item_id, p_name AS name, p_brand AS parent,
-         p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49) AS used FROM part"""
+         p_partkey IN (SELECT l_partkey FROM lineitem GROUP BY l_partkey HAVING count(*) >= 30) AS used FROM part"""
 )
 def filter_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All items as filter choices; those in at least 30 lines count as used."""
     parts = feeds.table(spark, sf_dir, "part").select(
         F.col("p_type").alias("facet"),
         F.col("p_partkey").alias("item_id"),
         F.col("p_name").alias("name"),
         F.col("p_brand").alias("parent"),
     )
-    usage = feeds.order_items(spark, sf_dir).filter("units > 49").select("item_id")
+    lines = feeds.order_items(spark, sf_dir).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_lines"))
+    usage = lines.filter("n_lines >= 30").select("item_id")
     return catalogue.filter_facets(parts, usage)
 
 
