@@ -2,11 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
 and read again as the next stage's documents.  All but the last return the columns of
-``documents``.
+``documents``; columns beyond the usual five travel along, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +18,23 @@ from millrace.llm.queries import TOKENIZER
 from millrace.session import configure, run_dir
 
 SECRET_MARK = "<secret>"
+USUAL = ("doc_id", "text", "lang", "source", "n_chars")
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def any_columns(stage: Stage) -> Stage:
+    """Hide the names of extra columns from a stage, so that none meets a name of its own."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [c if c in USUAL else f"extra_{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*names), sf_dir).toDF(*docs.columns)
+
+    return run
 
 
+@any_columns
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     configure(spark)
@@ -25,12 +43,14 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return scored.where(F.col("quality_score") >= quality.ACCEPT).drop("quality_score")
 
 
+@any_columns
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
     configure(spark)
     return neardup.drop_copies(docs, neardup.near_duplicates(docs))
 
 
+@any_columns
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by a mark."""
     configure(spark)
@@ -41,6 +61,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
+@any_columns
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: documents of a source as often as its target asks, the last ones in part."""
     configure(spark)
@@ -50,6 +71,7 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens and token_ids of every document that decodes to its text."""
     configure(spark)
+    docs = docs.select("doc_id", "lang", "source", "text")
     coded = bpe.encode_documents(docs, TOKENIZER, keep=("doc_id", "lang", "source"))
     return coded.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
 
