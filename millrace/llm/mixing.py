@@ -100,13 +100,16 @@ def repeat_taken(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     The last copy of a document at the edge of a budget holds its first words only, and its
     n_chars follows.
     """
-    take = mixed.groupBy("row_key").agg(F.max("size").alias("__size"), F.max("taken").alias("__taken"))
-    joined = docs.withColumn("__row", row_key()).join(take, F.col("__row") == F.col("row_key")).where("__taken > 0")
-    copies = F.ceil(F.col("__taken") / F.col("__size")).cast("int")
-    each = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies)))
-    words = F.least(F.col("__size"), F.col("__taken") - (F.col("__copy") - 1) * F.col("__size"))
-    text = F.when(words < F.col("__size"), cut_words(F.col("text"), words)).otherwise(F.col("text"))
+    take = mixed.groupBy("row_key").agg(F.max("size").alias("size"), F.max("taken").alias("taken"))
+    # The columns of a document stay in one struct, so none of them meets a name used here.
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), row_key().alias("row_key"))
+    joined = whole.join(take, "row_key").where("taken > 0")
+    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    each = joined.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    words = F.least(F.col("size"), F.col("taken") - (F.col("copy") - 1) * F.col("size"))
+    cut = words < F.col("size")
+    text = F.when(cut, cut_words(F.col("doc.text"), words)).otherwise(F.col("doc.text"))
     changed = {"text": text}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(words < F.col("__size"), F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    return each.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+        changed["n_chars"] = F.when(cut, F.length(text).cast("long")).otherwise(F.col("doc.n_chars"))
+    return each.select(*[changed.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
