@@ -9,8 +9,13 @@ A line is text between block tags, outside of markup, scripts and styles.  What
 lines equal depends on where they stand.  Menus, headers, footers, sidebars, notices,
 adverts, forms and reader comments are slots of the template: they are equal when the slot
 is, because their wording may change from page to page.  Other lines are equal when their
-text is.  A slot that the neighbour lacks is held against the general template, which has
-every slot.  Lines inside an article are never deleted for their wording, and a page that
+text is.  A slot is named by a tag, a role or a whole class name or id.  html, body, main
+and article are never slots, nor is anything around the article (the first main, else the
+longest article) except nav, aside and footer.
+
+A slot is deleted when the neighbour has it too, another line when the alignment shares it.
+A page without a neighbour is held against a general template, which has every slot and no
+other line.  Lines inside an article are never deleted for their wording, and a page that
 shares most of its words with its neighbour is a copy and keeps them: the contract asks for
 the article, also where two pages carry the same.
 
@@ -25,6 +30,7 @@ import re
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -54,17 +60,32 @@ SLOT_NAMES = frozenset(
     " sharing comment comments respond disqus promo promotion sponsor sponsored related widget pagination pager toolbar"
     " copyright".split()
 )
-OUTSIDE = "outside"
+NO_SLOTS = frozenset("html body main article".split())
+FIRM_TAGS = frozenset("nav aside footer".split())  # slots even around an article
 
 Line = tuple[str, str, bool]  # slot or "", text, inside an article
 
 
+@dataclass(slots=True, eq=False)
+class Open:
+    """A tag that is not closed yet."""
+
+    tag: str
+    slot: str
+    article: bool
+
+
+Around = tuple[Open, ...]  # the slots and articles around a line, outermost first
+
+
 def slot_of(tag: str, attributes: str, inside: bool) -> str:
     """Name of the template slot that a tag opens, or nothing."""
+    if tag in NO_SLOTS or not attributes and tag not in SLOT_TAGS and tag != "header":
+        return ""
     names = {}
     if attributes:
         names = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
-    words = re.split(r"[\s_-]+", f"{names.get('class', '')} {names.get('id', '')}".lower())
+    words = f"{names.get('class', '')} {names.get('id', '')}".lower().split()
     found = next((w for w in words if w in SLOT_NAMES), "")
     if found or tag in SLOT_TAGS or names.get("role", "").lower() in SLOT_ROLES or tag == "header" and not inside:
         return f"{tag}.{found}"
@@ -73,22 +94,18 @@ def slot_of(tag: str, attributes: str, inside: bool) -> str:
 
 def page_lines(source: str) -> list[Line]:
     """The text lines of a page in order."""
-    lines: list[Line] = []
+    lines: list[tuple[Around, str]] = []
     words: list[str] = []
-    open_tags: list[tuple[str, str, bool]] = []  # tag, slot, article
+    open_tags: list[Open] = []
     at, size = 0, len(source)
 
-    def state() -> tuple[str, bool]:
-        slot = next((s for _, s, _ in open_tags if s), "")
-        return slot, any(a for _, _, a in open_tags)
-
-    now = ("", False)
+    now: Around = ()
 
     def end_line() -> None:
         text = " ".join(html.unescape("".join(words)).split())
         words.clear()
         if text:
-            lines.append((now[0], text, now[1]))
+            lines.append((now, text))
 
     while at < size:
         m = PIECE.match(source, at)
@@ -113,24 +130,45 @@ def page_lines(source: str) -> list[Line]:
             words.append(" ")
         if m[1]:
             for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] == tag:
+                if open_tags[i].tag == tag:
+                    closed = open_tags[i:]
                     del open_tags[i:]
-                    now = state()
+                    if now and any(o.slot or o.article for o in closed):
+                        now = tuple(o for o in open_tags if o.slot or o.article)
                     break
             continue
         if tag in VOID or m[3].endswith("/"):
             continue
-        if tag in BLOCKS and open_tags and open_tags[-1][0] == tag and tag in ("p", "li", "dd", "dt", "option"):
+        if tag in BLOCKS and open_tags and open_tags[-1].tag == tag and tag in ("p", "li", "dd", "dt", "option"):
             open_tags.pop()
-        slot = slot_of(tag, m[3], now[1])
-        article = tag in ("article", "main") and not slot
+            now = tuple(o for o in open_tags if o.slot or o.article)
+        slot = slot_of(tag, m[3], any(o.article for o in now))
+        article = tag in ("article", "main")
         if slot or article or tag not in ("p", "li", "b", "i", "a", "em", "strong", "span", "td", "th", "tr", "tbody"):
-            open_tags.append((tag, slot, article))
-        now = state()
+            open_tags.append(Open(tag, slot, article))
+            if slot or article:
+                now = (*now, open_tags[-1])
     end_line()
-    if any(a and not s for s, _, a in lines):
-        lines = [(s or (OUTSIDE if not a else ""), t, a) for s, t, a in lines]
-    return lines
+    free_article(lines)
+    return [(next((o.slot for o in around if o.slot), ""), text, any(o.article for o in around)) for around, text in lines]
+
+
+def free_article(lines: list[tuple[Around, str]]) -> None:
+    """Take the slots away that lie around the article: the first main, else the article with most words."""
+    sizes: dict[int, int] = defaultdict(int)
+    chains: dict[int, Around] = {}
+    for around, text in lines:
+        top = next((i for i, o in enumerate(around) if o.article), None)
+        if top is not None:
+            key = id(around[top])
+            chains.setdefault(key, around[: top + 1])
+            sizes[key] += len(text.split())
+    if sizes:
+        mains = [k for k in sizes if chains[k][-1].tag == "main"]
+        chosen = mains[0] if mains else max(sizes, key=sizes.get)
+        for o in chains[chosen]:
+            if o.tag not in FIRM_TAGS:
+                o.slot = ""
 
 
 def line_keys(lines: list[Line]) -> tuple[list[int], list[list[int]]]:
@@ -186,7 +224,11 @@ def main_text(source: str, partner: list[int] | None) -> str:
     common = [members[k][0] for k in same if not lines[members[k][0]][0]]
     copy = 2 * sum(map(size, common)) > sum(map(size, texts))
     gone = set() if copy else {i for i in common if not lines[i][2]}
-    return "\n".join(lines[i][1] for i in texts if i not in gone)
+    theirs = set(partner) if partner else None
+    for key, places in zip(keys, members):
+        if lines[places[0]][0] and (theirs is None or key in theirs):
+            gone.update(places)
+    return "\n".join(text for i, (_, text, _) in enumerate(lines) if i not in gone)
 
 
 def page_key():

@@ -37,6 +37,29 @@ def test_odd_markup():
     assert len(pages.main_text("<p>word " * 50_000, None).split()) == 50_000
 
 
+def test_class_names_around_the_article():
+    keys = lambda x: pages.line_keys(pages.page_lines(x))[0]
+    for shell in (
+        "<body class='no-sidebar'><article>%s</article>", "<body class='right-sidebar menu'><article>%s</article>",
+        "<div id='content-sidebar-wrap'><article>%s</article></div>", "<article class='post comments-open'>%s</article>",
+        "<div class='menu-closed'><p>%s</p></div>", "<div class='sidebar'><main class='menu'>%s</main></div>",
+        "<form><article>%s</article></form>", "<body class='comments'><p>%s</p>",
+    ):
+        page = lambda n: "<nav>home</nav>" + shell % f"<p>story {n} <p>and more {n}"  # noqa: E731, B023
+        assert pages.main_text(page(1), keys(page(2))) == "story 1\nand more 1", shell
+        assert pages.main_text(page(1), None) == "story 1\nand more 1", shell
+
+
+def test_the_neighbour_decides():
+    keys = lambda x: pages.line_keys(pages.page_lines(x))[0]
+    page = "<p>Site</p><div>body %s is here</div><article>teaser %s</article>"
+    assert pages.main_text(page % (1, 1), keys(page % (2, 2))) == "body 1 is here\nteaser 1"
+    with_ad = "<nav>menu</nav><div class='ad'>buy</div><article>own words %s</article><div class='related'><article>t</article></div>"
+    without = "<nav>other</nav><article>own words %s</article>"
+    assert pages.main_text(with_ad % 1, keys(with_ad % 2)) == "own words 1"
+    assert pages.main_text(with_ad % 1, keys(without % 2)) == "buy\nown words 1\nt"
+
+
 def longest(a, b):
     t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
