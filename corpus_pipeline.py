@@ -63,9 +63,15 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 @any_columns
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: documents of a source as often as its target asks, the last ones in part."""
+    """The mix: documents of a source as often as its target asks, the last ones in part.
+
+    They weigh by the quality classifier.  It is trained on the documents that the pipeline
+    began with, as in the first stage: only accepted ones are left here.
+    """
     configure(spark)
-    return mixing.repeat_taken(docs, mixing.mix_sources(docs))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.train(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels)
+    return mixing.repeat_taken(docs, mixing.mix_sources(docs, model))
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

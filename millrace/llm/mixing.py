@@ -5,7 +5,8 @@ source's size and what is left over is shared again by weight.  A target is made
 complete epochs (the whole source) and a fraction.  For the fraction each document draws an
 exponential key divided by its quality weight; documents of a source are sorted by key and
 taken while the words fit, the last one up to the missing words.  Keys come from a hash of
-the row and a seed, so reruns agree.
+the row and a seed, so reruns agree.  The weight is the score of a quality model, or a
+column; without either all documents weigh the same.
 
 Null text has no words; documents without words are never taken.  Null is a source of its
 own and comes last.  Quality weights that are null, not positive or not finite count as the smallest weight.
@@ -17,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.common import bounded, durable, running_before, word_count
+from millrace.llm.quality import AdditiveModel, score
 
 WEIGHTS = (1, 2, 3)  # by source in code point order, repeating
 MOST = 3
@@ -24,13 +26,6 @@ SEED = 20240101
 LEAST_WEIGHT = 0.01
 
 
-def prose_share(text: Column) -> Column:
-    """A plain quality weight: the share of lower-case letters and spaces, to the fourth power."""
-    own = F.coalesce(text, F.lit(""))
-    plain = F.length(F.regexp_replace(own, r"[^\p{Ll} ]+", ""))
-    return F.pow(plain / F.greatest(F.length(own), F.lit(1)), F.lit(4.0))
-
-
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """source, source_size, target from rows (source, size): weighted shares with a ceiling.
 
@@ -59,18 +54,25 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     return table.select("source", "source_size", F.least(ceiling, F.col("weight") * F.lit(level)).alias("target"))
 
 
-def mix_sources(docs: DataFrame, quality: Column | None = None, keep: tuple[str, ...] = ("doc_id",), seed: int = SEED) -> DataFrame:
+def mix_sources(
+    docs: DataFrame,
+    quality: Column | AdditiveModel | None = None,
+    keep: tuple[str, ...] = ("doc_id",),
+    seed: int = SEED,
+) -> DataFrame:
     """Columns ``keep``, row_key, size, source_size, target, taken (words, repeats counted)."""
     bounded(docs.sparkSession)
-    weight = prose_share(F.col("text")) if quality is None else quality
+    facts = [*keep, F.col("source").alias("__source"), word_count(F.col("text")).alias("size"), row_key().alias("row_key")]
+    if isinstance(quality, AdditiveModel):
+        # The text goes to the model and does not come back.
+        rows = score(docs.select(*facts, F.col("text").alias("text")), quality, keep=(*keep, "__source", "size", "row_key"))
+        rows = rows.withColumnRenamed("quality_score", "__quality")
+    else:
+        rows = docs.select(*facts, (F.lit(1.0) if quality is None else quality).alias("__quality"))
+    weight = F.col("__quality")
     usable = weight.isNotNull() & ~F.isnan(weight) & (weight > 0) & (weight < float("inf"))
-    rows = docs.select(
-        *keep,
-        F.col("source").alias("__source"),
-        word_count(F.col("text")).alias("size"),
-        F.when(usable, F.greatest(weight, F.lit(LEAST_WEIGHT))).otherwise(F.lit(LEAST_WEIGHT)).alias("__weight"),
-        row_key().alias("row_key"),
-    )
+    weight = F.when(usable, F.greatest(weight, F.lit(LEAST_WEIGHT))).otherwise(F.lit(LEAST_WEIGHT))
+    rows = rows.withColumn("__weight", weight).drop("__quality")
     unit = (F.shiftrightunsigned(F.xxhash64("row_key", F.lit(seed)), 11) + 1) / F.lit(float(2**53 + 1))
     rows = durable(rows.withColumn("__key", -F.ln(unit) / F.col("__weight")).drop("__weight"))
     targets = source_targets(rows.select(F.col("__source").alias("source"), "size"))

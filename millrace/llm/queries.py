@@ -51,7 +51,8 @@ def op3_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix_sources(docs, quality.train(docs, table(spark, sf_dir, "labels")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing
+from millrace.llm import mixing, quality, queries
 from millrace.llm.common import running_before, word_count
 
 SPACE = " \t\n\x0b\f\r"
@@ -79,6 +79,23 @@ def test_weights_matter(spark):
     assert even > 3 * sum(r.taken for r in part if r.doc_id % 2)
 
 
+def test_scripts_and_scores(spark):
+    latin, other = "some plain prose in a line", "\u4e2d\u6587 \u6587\u5b57 \u0639\u0631 \u0628\u064a \u0939\u093f \u0928\u0926"
+    rows = [(i, (latin, other)[i % 2], "s", 1, "", 1) for i in range(400)]
+    rows += [(i, "x y", "t", 1, "", 1) for i in range(400, 1600)]
+    docs = table(spark, rows)
+    part = lambda got: [sum(r.taken % r.size > 0 or r.taken > r.size * (r.target // r.source_size) for r in got if r.doc_id < 400 and r.doc_id % 2 == k) for k in (0, 1)]
+    a, b = part(mixing.mix_sources(docs).collect())
+    assert b > a / 2 > 0
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = quality.train(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    order = lambda df: sorted(map(tuple, df.select("doc_id", "taken").collect()))
+    weighed = quality.score(docs, model, keep=tuple(docs.columns))
+    wanted = order(mixing.mix_sources(weighed, F.col("quality_score")))
+    assert order(queries.op4_source_mixing(spark, "/root/testdata/sf0.001")) == wanted
+    assert wanted != order(mixing.mix_sources(docs))
+
+
 def test_empty(spark):
     docs = table(spark, [])
     assert mixing.mix_sources(docs).count() == 0
