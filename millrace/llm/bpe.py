@@ -29,7 +29,8 @@ from millrace.llm.common import arrow_pass, bounded, string_array
 
 # The pre-tokenizer pattern of byte-level BPE vocabularies (fixed value).
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-REMEMBERED = 800_000  # parts kept in the table of one worker
+REMEMBERED_BYTES = 24 << 20  # memory that the parts remembered by one worker may take
+ENTRY_BYTES = 200  # of a remembered part besides its characters and ids
 SHORT = 48  # bytes; longer parts are merged with a heap and not remembered
 
 
@@ -45,13 +46,15 @@ class Known(dict):
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.room = encode, REMEMBERED_BYTES
 
     def __missing__(self, part: str) -> tuple[int, ...]:
         ids = self.encode(part)
         if len(part) <= SHORT:
-            if len(self) >= REMEMBERED:
+            self.room -= ENTRY_BYTES + len(part) + 8 * len(ids)
+            if self.room < 0:
                 self.clear()
+                self.room = REMEMBERED_BYTES
             self[part] = ids
         return ids
 
@@ -107,6 +110,10 @@ class ByteBpe:
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
 
+    def length(self, token: str) -> int:
+        """Number of ids of a pre-token."""
+        return len(self._part(token))
+
     def fragments(self, text: str) -> list[str]:
         """The text cut in front of every space that follows a solid character."""
         first, *rest = text.split(" ")
@@ -196,8 +203,8 @@ def encoder(text: str) -> ByteBpe:
     return ByteBpe(text)
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep``, token_ids (array of int) and decoded (the text made from the ids).
+def encode_documents(docs: DataFrame, tokenizer_path: str, keep: tuple[str, ...] = ("doc_id",), decode: bool = True) -> DataFrame:
+    """Columns ``keep``, token_ids (array of int) and, if asked for, decoded (the text made from the ids).
 
     The vocabulary file is read by the driver and sent to the tasks; its size is fixed.
     """
@@ -215,16 +222,15 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, keep: tuple[str, ...]
             for value in batch.column(len(keep)):
                 own = bpe.encode(value.as_py() or "")
                 ids.append(np.array(own, np.int32))
-                decoded.append(bpe.decode(own))
+                if decode:
+                    decoded.append(bpe.decode(own))
             offsets = np.zeros(len(ids) + 1, np.int32)
             np.cumsum([len(x) for x in ids], out=offsets[1:])
             flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
             columns = {name: batch.column(i) for i, name in enumerate(keep)}
-            return columns | {
-                "token_ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                "decoded": string_array(decoded),
-            }
+            columns["token_ids"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            return columns | ({"decoded": string_array(decoded)} if decode else {})
 
         return run
 
-    return arrow_pass(source, f"{kinds}, token_ids array<int>, decoded string", make)
+    return arrow_pass(source, f"{kinds}, token_ids array<int>" + ", decoded string" * decode, make)

@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, lines, mixing, neardup, pages, quality, secrets, substrings, topk, urls
+from millrace.llm import bpe, fim, lines, mixing, neardup, pages, quality, secrets, spelling, substrings, tokencount, topk, urls
 from millrace.plans.registry import query
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+TOKEN_LIMIT = 512
 
 # host, path, action of the filter rules (fixed values).
 URL_RULES = [
@@ -155,3 +156,47 @@ SELECT h.page_id, h.host, h.path, m.rule, coalesce(m.verdict, 'allow') AS verdic
 def op10_url_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return urls.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query(spelling.ORACLE)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+FIM_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+    sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), d AS (
+  SELECT *, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS h1, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS h2,
+    ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM t
+), c AS (
+  SELECT doc_id, text, n, array_to_string(u[1:least(h1, h2)], '') AS p, array_to_string(u[least(h1, h2) + 1:greatest(h1, h2)], '') AS m,
+    array_to_string(u[greatest(h1, h2) + 1:], '') AS s, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM c
+"""
+
+
+@query(FIM_SQL)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+@query()
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokencount.count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
