@@ -75,10 +75,10 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens and token_ids of every document that decodes to its text."""
+    """doc_id, lang, source, n_tokens and token_ids of every document; extra columns end here."""
     configure(spark)
     docs = docs.select("doc_id", "lang", "source", "text")
-    coded = bpe.encode_documents(docs, TOKENIZER, keep=("doc_id", "lang", "source"))
+    coded = bpe.encode_documents(docs, TOKENIZER, keep=("doc_id", "lang", "source"), decode=False)
     return coded.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
 
 
