@@ -3,10 +3,11 @@
 1. Documents are pre-tokenized in blocks of about ``BLOCK_BYTES`` of text.  A block keeps
    its distinct pre-tokens and, for each document, which of them it holds how often: sorted
    indices as compressed differences, a few bits for an entry.
-2. The distinct pre-tokens of all blocks are merged and each is encoded once; only the
-   number of its tokens is kept.
-3. The numbers are joined to the blocks' pre-tokens and meet each block's frequencies
-   again, where a document's count is a sum of products.
+2. The blocks' pre-tokens are sorted together, so that equal ones follow each other.  Each
+   distinct one is encoded once, only the number of its tokens is kept, and all its rows
+   get that number: a merge join without a second shuffle.
+3. Numbers other than one return to their blocks and meet the frequencies there, where a
+   document's count is a sum of products.
 
 A pre-token has one row in a block, however often the block's documents hold it, so the
 commonest one has as many rows as there are blocks.  Texts travel nowhere.
@@ -25,15 +26,16 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import PRETOKEN, encoder
-from millrace.llm.common import arrow_pass, bounded
+from millrace.llm.common import bounded
 from millrace.session import run_dir
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 
 
 def packed(numbers: np.ndarray, kind: type) -> bytes:
@@ -100,6 +102,7 @@ class Block:
                 "fixed": one(pa.array(self.fixed, pa.int64())),
                 "steps": pa.array([packed(steps, np.uint32)], pa.binary()),
                 "times": pa.array([packed(times, np.uint32)], pa.binary()),
+                "n_pieces": pa.array([len(order)], pa.int32()),
                 "pieces": one(pa.array([pieces[i] for i in order], pa.string())),
             }
         )
@@ -136,28 +139,35 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, keep: tuple[str, ...] = (
             yield block.row(number)
 
     path = run_dir(spark, "token-counts")
-    schema = f"block long, kept array<{kept}>, entries array<int>, fixed array<long>, steps binary, times binary, pieces array<string>"
+    schema = f"block long, kept array<{kept}>, entries array<int>, fixed array<long>, steps binary, times binary, n_pieces int, pieces array<string>"
     source.mapInArrow(block_rows, schema).write.option("compression", "zstd").parquet(path)
     pieces = spark.read.parquet(path).select("block", F.posexplode("pieces").alias("at", "piece"))
 
-    def lengths():
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocabulary.value)
-
-        def run(batch: pa.RecordBatch) -> dict:
-            own = [bpe.length(piece) for piece in batch.column(0).to_pylist()]
-            return {"piece": batch.column(0), "n": pa.array(own, pa.int32())}
-
-        return run
-
-    counted = arrow_pass(pieces.select("piece").distinct(), "piece string, n int", lengths)
-    numbers = pieces.join(counted, "piece").select("block", "at", "n")
+        piece, n = None, 0  # the last one of the batch before
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = batch.column("piece")
+            fresh = np.ones(len(own), bool)
+            fresh[1:] = pc.not_equal(own[1:], own[:-1]).to_numpy(zero_copy_only=False)
+            distinct = own.filter(pa.array(fresh)).to_pylist()
+            sizes = [n if p == piece else bpe.length(p) for p in distinct[:1]] + [bpe.length(p) for p in distinct[1:]]
+            piece, n = distinct[-1], sizes[-1]
+            numbers = pa.array(np.array(sizes, np.int32)[np.cumsum(fresh) - 1])
+            several = pc.not_equal(numbers, 1)
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("at"), numbers], names=["block", "at", "n"]).filter(several)
+
+    ordered = pieces.repartition("piece").sortWithinPartitions("piece")
+    numbers = ordered.mapInArrow(numbered, "block long, at int, n int")
 
     def total(block: pa.Table, found: pa.Table) -> pa.Table:
-        value = np.zeros(found.num_rows, np.int64)
-        value[found["at"].to_numpy()] = found["n"].to_numpy()
         rows, sums = [], []
         for b in block.to_batches():
             for i in range(b.num_rows):
+                value = np.ones(b.column("n_pieces")[i].as_py(), np.int64)
+                value[found["at"].to_numpy()] = found["n"].to_numpy()
                 entries = np.array(b.column("entries")[i].values, np.int64)
                 steps, times = unpacked(b.column("steps")[i].as_py(), np.uint32), unpacked(b.column("times")[i].as_py(), np.uint32)
                 ends = np.cumsum(entries)

@@ -51,10 +51,10 @@ def test_empty_table_and_kept_columns(spark):
     assert [tuple(r) for r in got] == [(1, None, 3, 2), (2, "de", 0, 0)]
 
 
-def test_each_pretoken_is_counted_once(spark):
+def test_texts_do_not_travel(spark):
     docs = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("one two two three").alias("text")).repartition(5)
     plan = tokencount.count_tokens(docs, PATH)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Aggregate [piece" in plan and "text" not in plan
+    assert "RepartitionByExpression [piece" in plan and "text" not in plan
 
 
 @settings(max_examples=200, deadline=None)
