@@ -24,7 +24,7 @@ BATCH_CONF = {
 }
 
 #: Bytes of text that one group of documents should hold when a task must see it whole.
-GROUP_BYTES = 24 << 20
+GROUP_BYTES = 8 << 20
 
 
 def bounded(spark: SparkSession) -> SparkSession:

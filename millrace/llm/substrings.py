@@ -9,7 +9,7 @@ lies (13 = 2 * 7 - 1), so indexing the blocks and probing them with every rollin
 7 words meets every repeat.  Hits are then extended: each window of 13 words over a hit is
 compared as a whole, and touching windows make up the maximal repeat.
 
-Documents are dealt into groups by a hash of their id; a group holds a bounded amount of
+Documents are dealt into groups by a hash of their id and text; a group holds a bounded amount of
 text.  Within a group equal hashes are merged before anything is shuffled, and they travel
 as packed arrays, one for each (group, bucket).  A passage that is in every document is one
 number per group, so no key is hot.  Hashes of 7 words only choose candidates; windows of
@@ -23,6 +23,7 @@ has.  Null and empty texts have no words.  Extra columns are ignored; empty tabl
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,30 +32,36 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.llm.common import bounded, mix, rolling, run_starts, text_groups, word_hashes
 
 WINDOW, BLOCK = 13, 7
+GROUPS_A_BUCKET = 3
 NULL_ID = -(2**63)
 
 
-def group_words(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
+def words_of(texts: pa.ChunkedArray) -> Iterator[list[bytes]]:
+    """The words of one text after the other; no two texts are held as words."""
+    for text in texts:
+        yield (text.as_py() or "").encode().split()
+
+
+def group_words(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all documents end to end, and where each document begins."""
-    words = [(t.as_py() or "").encode().split() for t in texts]
-    starts = np.zeros(len(words) + 1, np.int64)
-    np.cumsum([len(w) for w in words], out=starts[1:])
-    hashes = np.concatenate([word_hashes(w) for w in words]) if words else np.empty(0, np.uint64)
-    return hashes, starts, words
+    parts = [word_hashes(w) for w in words_of(texts)]
+    starts = np.zeros(len(parts) + 1, np.int32)
+    np.cumsum([len(p) for p in parts], out=starts[1:])
+    return np.concatenate(parts) if parts else np.empty(0, np.uint64), starts
 
 
 def whole_windows(starts: np.ndarray, width: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Which windows lie in one document, and the document of each window."""
-    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[:n]
-    at = np.arange(n)
-    return at + width <= starts[owner + 1] if n else np.empty(0, bool), owner
+    owner = np.repeat(np.arange(len(starts) - 1, dtype=np.int32), np.diff(starts))[:n]
+    at = np.arange(n, dtype=np.int32)
+    return at + np.int32(width) <= starts[owner + 1] if n else np.empty(0, bool), owner
 
 
 def anchors(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Rolling hashes of BLOCK words: values, places, documents, and whether each is a block of its document."""
     rolled = rolling(hashes, BLOCK)
     good, owner = whole_windows(starts, BLOCK, len(rolled))
-    at = np.flatnonzero(good)
+    at = np.flatnonzero(good).astype(np.int32)
     return rolled[at], at, owner[at], (at - starts[owner[at]]) % BLOCK == 0
 
 
@@ -82,13 +89,15 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and clean_text, the kept words joined by a space)."""
     bounded(docs.sparkSession)
     groups = text_groups(docs)
+    # Hashes take less memory than texts, so a bucket serves several groups.
+    buckets = -(-groups // GROUPS_A_BUCKET)
     own = F.coalesce(F.col("doc_id"), F.lit(NULL_ID)).alias("own")
-    dealt = docs.select(own, "text", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int").alias("grp"))
+    dealt = docs.select(own, "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int").alias("grp"))
     dealt = dealt.repartition(F.col("grp"))
 
     # 1. Every group: its distinct rolling hashes, and whether they are blocks.
     def probe(key: tuple, table: pa.Table) -> pa.Table:
-        hashes, starts, _ = group_words(table["text"])
+        hashes, starts = group_words(table["text"])
         values, _, _, block = anchors(hashes, starts)
         order = np.argsort(values, kind="stable")
         values, block = values[order], block[order]
@@ -97,7 +106,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
         values = values[first]
         # 30 bits below the bucket bits choose candidates; the lowest of 32 is the flag.
         short = ((values >> np.uint64(8)).astype(np.uint32) & np.uint32(0xFFFFFFFC)) | flags
-        return blobs(key[0].as_py(), pack(bucket(values, groups), groups, short), ["data"])
+        return blobs(key[0].as_py(), pack(bucket(values, buckets), buckets, short), ["data"])
 
     kind = "grp int, bucket int, data binary"
     probes = dealt.groupBy("grp").applyInArrow(probe, kind)
@@ -134,13 +143,13 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
 
     # 3. Every group: its distinct windows of 13 words over hits, with their smallest id.
     def extend(key: tuple, table: pa.Table, found: pa.Table) -> pa.Table:
-        hashes, starts, _ = group_words(table["text"])
+        hashes, starts = group_words(table["text"])
         value, check, owner = candidates(hashes, starts, found)
         ids = table["own"].to_numpy()
         order = np.lexsort((ids[owner], check, value))
         value, check, who = value[order], check[order], ids[owner[order]]
         first = run_starts(value, check)
-        packed = pack(bucket(value[first], groups), groups, value[first], check[first], who[first])
+        packed = pack(bucket(value[first], buckets), buckets, value[first], check[first], who[first])
         return blobs(key[0].as_py(), packed, ["value", "check", "least"])
 
     def candidates(hashes, starts, found):
@@ -149,7 +158,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
             [np.empty(0, np.uint64)]
             + [np.frombuffer(d.as_py(), np.uint32).astype(np.uint64) | np.uint64(b.as_py()) << np.uint64(30) for b, d in zip(found["bucket"], found["data"])]
         ))
-        short = bucket(values, groups).astype(np.uint64) << np.uint64(30) | (values >> np.uint64(10)) & np.uint64(0x3FFFFFFF)
+        short = bucket(values, buckets).astype(np.uint64) << np.uint64(30) | (values >> np.uint64(10)) & np.uint64(0x3FFFFFFF)
         place = np.searchsorted(wanted, short)
         hit = np.zeros(len(hashes) + 1, np.int64)
         if len(wanted):
@@ -197,7 +206,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
 
     # 5. Every group: cover the words of windows that a smaller id has, in another group or in this one.
     def cover(key: tuple, table: pa.Table, found: pa.Table) -> pa.Table:
-        hashes, starts, words = group_words(table["text"])
+        hashes, starts = group_words(table["text"])
         ids = table["own"].to_numpy()
         rolled, second = rolling(hashes, WINDOW), second_hash(hashes)
         good, owner = whole_windows(starts, WINDOW, len(rolled))
@@ -220,22 +229,25 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
         np.add.at(gone, start, 1)
         np.add.at(gone, start + WINDOW, -1)
         removed = np.cumsum(gone)[:-1] > 0
-        out_text, sizes, lost = [], [], []
-        for i, own_words in enumerate(words):
+        digests, sizes, lost, out_text = [], [], [], []
+        for i, own_words in enumerate(words_of(table["text"])):
             mask = removed[starts[i] : starts[i + 1]]
             cut = int(mask.sum())
             left = own_words if not cut else [w for w, m in zip(own_words, mask.tolist()) if not m]
-            out_text.append(b" ".join(left))
+            kept = b" ".join(left)
+            digests.append(hashlib.sha256(kept).hexdigest())
+            if keep_text:
+                out_text.append(kept)
             sizes.append(len(own_words))
             lost.append(cut)
         columns = {
             "doc_id": pa.array([None if i == NULL_ID else i for i in ids.tolist()], pa.int64()),
             "n_words": pa.array(sizes, pa.int64()),
             "n_removed": pa.array(lost, pa.int64()),
-            "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in out_text], pa.string()),
+            "kept_sha256": pa.array(digests, pa.string()),
         }
         if keep_text:
-            columns["clean_text"] = pa.array([t.decode() for t in out_text], pa.string())
+            columns["clean_text"] = pa.array(out_text, pa.binary()).cast(pa.string())
         return pa.table(columns)
 
     result = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", clean_text string" * keep_text
