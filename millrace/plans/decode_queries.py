@@ -13,6 +13,9 @@ from millrace.operators import decode, infer
 from millrace.plans import feeds
 from millrace.plans import oracle_feeds as O
 from millrace.plans.registry import query
+from millrace.session import run_dir
+from millrace.sources import message_log
+from millrace.streaming import jobs
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +32,12 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
              FROM f_messages""")
 )
 def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feeds.messages(spark, sf_dir).select(
+    """The messages published to a log and read from it as a stream."""
+    folder = run_dir(spark, "source-events")
+    message_log.publish(feeds.messages(spark, sf_dir).drop("event_id"), f"{folder}/log")
+    stream = message_log.read_log_stream(spark, f"{folder}/log")
+    jobs.write_batches(stream, f"{folder}/out", f"{folder}/checkpoint", mode="append").awaitTermination()
+    return spark.read.schema(S.MESSAGE_SCHEMA).parquet(f"{folder}/out").select(
         F.col("key").cast("string").alias("key"),
         "topic",
         F.col("partition").cast("long").alias("partition"),

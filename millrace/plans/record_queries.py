@@ -14,8 +14,8 @@ from millrace.plans import feeds
 from millrace.plans import oracle_feeds as O
 from millrace.plans.registry import query
 from millrace.session import run_dir
-from millrace.sources import sinks
-from millrace.streaming import jobs
+from millrace.sources import message_log, sinks
+from millrace.streaming import stages
 
 _CLEANED = f"SELECT doc_id, id, {O.escape(O.readable('content'))} AS extraction_text FROM f_docs"
 
@@ -68,6 +68,13 @@ def source_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _through_log(spark: SparkSession, messages: DataFrame, label: str) -> DataFrame:
+    """Messages as a reader of their log gets them."""
+    path = run_dir(spark, label)
+    message_log.publish(messages, path)
+    return message_log.read_log(spark, path)
+
+
 @query(
     O.sql(
         """SELECT id AS key, length(extraction_text) AS text_chars, extraction_text AS text, 'Record ' || id AS title
@@ -78,6 +85,7 @@ def source_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = clean.drop_blank(_extractions(spark, sf_dir), "extraction_text").withColumn("record", feeds.record_struct())
     messages = sinks.result_messages(sent, "id", sinks.extraction_value(F.col("record")))
+    messages = _through_log(spark, messages, "extractions")
     body = once(
         messages.select(F.col("key").cast("string").alias("key"), "value"),
         body=F.from_json(
@@ -100,7 +108,7 @@ def sink_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     usable = infer.resolve(feeds.answered(spark, sf_dir)).filter("status = 'ok'")
     sent = usable.select(F.col("doc_id").cast("string").alias("id"), "chunks")
-    messages = sinks.result_messages(sent, "id", sinks.chunk_value(F.struct("id")))
+    messages = _through_log(spark, sinks.result_messages(sent, "id", sinks.chunk_value(F.struct("id"))), "chunks")
     read = once(
         messages.select(F.col("key").cast("string").alias("key"), "value"),
         body=F.from_json(F.col("value").cast("string"), "struct<chunks:array<struct<category:string,content:string>>>"),
@@ -224,16 +232,30 @@ def version_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(O.sql("SELECT id, epoch_us(max(ts)) AS version_us FROM f_events GROUP BY id"))
 def stream_version_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events through the streaming version filter; the newest emitted version per id."""
+    """Events through a stage that passes versions on; the newest one published per id."""
     folder = run_dir(spark, "stream-versions")
-    # a pattern stands for a single file as well as for a folder of files
-    path = f"{sf_dir.rstrip('/')}/events.parque[t]"
-    schema = feeds.table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).parquet(path)
-    keyed = stream.select(F.col("user_id").cast("string").alias("id"), F.col("ts").cast("timestamp").alias("ts"))
-    jobs.version_filter(keyed, "id", "ts", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    emitted = spark.read.parquet(f"{folder}/out")
-    return emitted.groupBy("id").agg(F.max("version_us").alias("version_us"))
+    rows = feeds.events(spark, sf_dir).select("id", F.col("ts").alias("version"))
+    message_log.publish(_announced(rows), f"{folder}/events")
+    stage = stages.Stage("versions", _announcements("id string, version timestamp"), _passed_on)
+    stream = message_log.read_log_stream(spark, f"{folder}/events")
+    stages.run_stage(stage, stream, f"{folder}/versions", f"{folder}/out").awaitTermination()
+    sent = message_log.read_log(spark, f"{folder}/out")
+    newest = _announcements("id string, version timestamp")(sent)
+    return newest.groupBy("id").agg(F.max(F.unix_micros("version")).alias("version_us"))
+
+
+def _announced(rows: DataFrame) -> DataFrame:
+    return sinks.result_messages(rows, "id", F.struct(*rows.columns))
+
+
+def _announcements(ddl: str):
+    """Rows as announced, with the headers of their messages."""
+    return lambda messages: messages.select(F.from_json(F.col("value").cast("string"), ddl).alias("row"), "headers").select("row.*", "headers")
+
+
+def _passed_on(due: DataFrame) -> DataFrame:
+    value = sinks.serialize(F.struct("id", "version"))
+    return due.select("*", F.lit(True).alias("succeeded"), F.encode("id", "UTF-8").alias("key"), F.encode(value, "UTF-8").alias("value"))
 
 
 @query(
@@ -246,14 +268,28 @@ def stream_version_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def ledger_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = _old_ledger(spark, sf_dir)
-    due = dedup.skip_seen(feeds.docs(spark, sf_dir).select("id", "version", "content"), old, "id", "version")
-    published = clean.drop_blank(clean.extract(due, "content").drop("content"), "extraction_text")
-    return dedup.advance_ledger(old, published, "id", "version").select(
+    """The ledger behind a stage that cleans and publishes: blank texts do not advance it."""
+    folder = run_dir(spark, "ledger")
+    stages.seed_ledger(_old_ledger(spark, sf_dir), f"{folder}/extraction")
+    message_log.publish(_announced(feeds.docs(spark, sf_dir).select("id", "version", "content")), f"{folder}/events")
+    stage = stages.Stage("extraction", _announcements("id string, version timestamp, content string"), _cleaned)
+    stream = message_log.read_log_stream(spark, f"{folder}/events")
+    stages.run_stage(stage, stream, f"{folder}/extraction", f"{folder}/out").awaitTermination()
+    return stages.ledger_before(spark, f"{folder}/extraction/ledger").select(
         "id", F.unix_micros("version").alias("version_us")
     )
 
 
+def _cleaned(due: DataFrame) -> DataFrame:
+    ran = clean.extract(due, "content").drop("content")
+    return ran.select(
+        "*",
+        (~X.is_blank(F.col("extraction_text"))).alias("succeeded"),
+        F.encode("id", "UTF-8").alias("key"),
+        F.encode("extraction_text", "UTF-8").alias("value"),
+    )
+
+
 @query(
     O.sql("""SELECT record_id, CAST(position // 4 AS INT) AS segment, CAST(sum(copies) AS BIGINT) AS n_items,
                string_agg(item, ';' ORDER BY position, item_id, units) AS items
@@ -399,6 +435,28 @@ def state_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.newest_state(ledger.stage_states(judged, "id"))
 
 
+@query(
+    O.sql(
+        """SELECT item ->> '$.id' AS id, max(epoch_us(CAST(item ->> '$.modifiedOn' AS TIMESTAMP))) AS version_us,
+             'embedding-succeeded' AS state, CAST(1 AS BIGINT) AS n_requests
+           FROM f_items WHERE json_type(item) = 'OBJECT' AND (item -> '$.title') IS NOT NULL AND item ->> '$.glassware[0]' <> 'teapot'
+             AND item ->> '$.ingredients[0].uoM' <> 'gallons' AND item ->> '$.id' NOT IN ('unknown', '') GROUP BY 1"""
+    )
+)
+def streamed_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change events through the three connected stages: one request per record, of its newest version."""
+    folder = run_dir(spark, "chain")
+    message_log.publish(feeds.messages(spark, sf_dir).drop("event_id"), f"{folder}/events")
+    logs = stages.run_chain(spark, f"{folder}/events", folder)
+    requests = message_log.read_log(spark, logs["embedding"]).select(F.col("key").cast("string").alias("id"))
+    states = stages.outcomes(spark, "embedding", f"{folder}/embedding")
+    done = stages.ledger_before(spark, f"{folder}/embedding/ledger")
+    counted = requests.groupBy("id").agg(F.count(F.lit(1)).alias("n_requests"))
+    return done.join(states, "id").join(counted, "id").select(
+        "id", F.unix_micros("version").alias("version_us"), "state", "n_requests"
+    )
+
+
 _REJECTS = """
     SELECT 'message' AS scope, CASE WHEN body IS NULL THEN 'no_value' WHEN text IS NULL THEN 'bad_utf8'
              WHEN payload IS NULL THEN 'bad_json' WHEN items IS NULL THEN 'not_a_list' END AS reason FROM f_itemized
