@@ -1,156 +1,17 @@
-"""Vector hits, their statistics, ranked pages and related records."""
+"""Statistics of vector hits, hit lists and ranked pages."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-# Requests shipped to every task.  One request is a vector, so this bounds the copy;
-# more requests go by the block join below.
-MAX_SHIPPED_REQUESTS = 1024
-SCORE_DIGITS = 6
+from millrace.operators.vectors import SCORE_DIGITS
+
 HIT_BOOST = 0.1
 HITS_PER_LIST = 256
 
 
-def vector_hits(
-    vectors: DataFrame,
-    requests: DataFrame,
-    min_score: float | None = None,
-    max_shipped: int = MAX_SHIPPED_REQUESTS,
-) -> DataFrame:
-    """Cosine score of every chunk vector against every request, at or above ``min_score``.
-
-    Vectors that are null, hold a null or a number that is not finite, or have no length
-    meet nothing, and vectors of different dimensions do not meet each other.
-    The vectors are scanned once and never shuffled: a checked number of request
-    vectors goes to the tasks, where each Arrow batch is one matrix product.
-    """
-    vectors, requests = vectors.filter(usable("embedding")), requests.filter(usable("query_vector"))
-    shipped = requests.limit(max_shipped + 1).collect()
-    if len(shipped) > max_shipped:
-        return _joined_hits(vectors, requests, min_score, max_shipped)
-    groups = _unit_rows(shipped)
-
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for own, names, scores in _cosines(frame, groups):
-                keep = np.ones(scores.shape, bool) if min_score is None else scores >= min_score
-                row, col = np.nonzero(keep)
-                yield pd.DataFrame(
-                    {
-                        "request_id": names[col],
-                        "record_id": own["record_id"].to_numpy()[row],
-                        "chunk_id": own["chunk_id"].to_numpy()[row],
-                        "score": scores[row, col],
-                    }
-                )
-
-    schema = "request_id string, record_id string, chunk_id long, score double"
-    return vectors.select("record_id", "chunk_id", "embedding").mapInPandas(score, schema)
-
-
-def best_scores(vectors: DataFrame, requests: DataFrame, max_shipped: int = MAX_SHIPPED_REQUESTS) -> DataFrame:
-    """Best chunk score per (request, record), reduced inside each batch before any shuffle."""
-    vectors, requests = vectors.filter(usable("embedding")), requests.filter(usable("query_vector"))
-    shipped = requests.limit(max_shipped + 1).collect()
-    if len(shipped) > max_shipped:
-        rows = _joined_hits(vectors, requests, None, max_shipped)
-    else:
-        groups = _unit_rows(shipped)
-
-        def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                for own, names, scores in _cosines(frame, groups):
-                    top = pd.DataFrame(scores).groupby(own["record_id"].to_numpy(), dropna=False).max()
-                    records = np.array([None if pd.isna(r) else r for r in top.index], dtype=object)
-                    yield pd.DataFrame(
-                        {
-                            "request_id": np.tile(names, len(top)),
-                            "record_id": np.repeat(records, len(names)),
-                            "score": top.to_numpy().ravel(),
-                        }
-                    )
-
-        rows = vectors.select("record_id", "embedding").mapInPandas(
-            best, "request_id string, record_id string, score double"
-        )
-    return rows.groupBy("request_id", "record_id").agg(F.max("score").alias("score"))
-
-
-def usable(column: str) -> Column:
-    """Whether a vector has a direction: nothing null or not finite in it, and not all zero."""
-    given = F.col(column)
-    finite = F.forall(given, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce(finite & F.exists(given, lambda x: x != 0), F.lit(False))
-
-
-def _unit_rows(rows: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """By dimension: request names and their unit vectors."""
-    sizes = {len(r["query_vector"]) for r in rows}
-    out = {}
-    for size in sorted(sizes):
-        own = [r for r in rows if len(r["query_vector"]) == size]
-        matrix = np.array([r["query_vector"] for r in own], dtype=np.float64)
-        names = np.array([r["request_id"] for r in own], dtype=object)
-        out[size] = names, matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-    return out
-
-
-def _cosines(frame: pd.DataFrame, groups: dict) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
-    """Rows of one dimension, the requests of that dimension, and their rounded scores."""
-    sizes = frame["embedding"].map(len)
-    for size, (names, matrix) in groups.items():
-        own = frame[sizes == size]
-        if len(own):
-            vectors = np.stack(own["embedding"].to_numpy()).astype(np.float64)
-            scores = vectors @ matrix.T / np.linalg.norm(vectors, axis=1, keepdims=True)
-            yield own, names, np.round(scores, SCORE_DIGITS)
-
-
-def _joined_hits(vectors: DataFrame, requests: DataFrame, min_score: float | None, block_size: int) -> DataFrame:
-    """The same scores for a request table of any size.
-
-    Requests are packed into hashed blocks and met by an equi-join on (block, salt);
-    the salt spreads the vectors of a block over many tasks.  Exact like the scan.
-    """
-    blocks = max(1, -(-requests.count() // block_size) * 2)
-    salts = max(8, vectors.sparkSession.sparkContext.defaultParallelism)
-    packed = (
-        requests.withColumn("block", F.pmod(F.xxhash64("request_id"), F.lit(blocks)).cast("int"))
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("request_id", "query_vector")).alias("requests"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    spread = vectors.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn(
-        "salt", F.pmod(F.xxhash64("chunk_id"), F.lit(salts)).cast("int")
-    )
-    same_size = F.filter("requests", lambda r: F.size(r["query_vector"]) == F.size("embedding"))
-    scored = F.transform(
-        same_size,
-        lambda r: F.struct(
-            r["request_id"].alias("request_id"),
-            # Half-even on doubles, as in the scan.
-            (F.rint(cosine(F.col("embedding"), r["query_vector"]) * 10**SCORE_DIGITS) / 10**SCORE_DIGITS).alias("score"),
-        ),
-    )
-    kept = scored if min_score is None else F.filter(scored, lambda s: s["score"] >= min_score)
-    joined = spread.join(packed, ["block", "salt"]).select("record_id", "chunk_id", F.inline(kept))
-    return joined.select("request_id", "record_id", "chunk_id", "score")
-
-
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two equally long arrays, in the JVM."""
-    total = lambda v: F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
-    product = lambda p, q: total(F.zip_with(p, q, lambda x, y: x.cast("double") * y.cast("double")))
-    return product(a, b) / (F.sqrt(product(a, a)) * F.sqrt(product(b, b)))
-
-
 def search_statistics(hits: DataFrame, boost: float = HIT_BOOST) -> DataFrame:
     """Sum, best, mean, boosted mean and number of hits per (request, record).
 
@@ -204,14 +65,3 @@ def search_page(statistics: DataFrame, skip: int = 0, take: int = 10, score: str
     """One page of the ranking; Spark keeps only skip + take rows per partition."""
     ranked = statistics.orderBy(F.col(score).desc(), "request_id", "record_id")
     return ranked.offset(skip).limit(take)
-
-
-def related_records(vectors: DataFrame, requests: DataFrame, k: int) -> DataFrame:
-    """The k nearest other records of each request's record.
-
-    Spark turns ``rank <= k`` over the window into a limit per partition before the
-    shuffle, so a request never brings its whole score list to one task.
-    """
-    others = best_scores(vectors, requests).filter("request_id <> record_id")
-    by_request = Window.partitionBy("request_id").orderBy(F.col("score").desc(), "record_id")
-    return others.withColumn("rank", F.row_number().over(by_request)).filter(F.col("rank") <= k)

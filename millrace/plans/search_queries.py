@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from millrace import schemas as S
 from millrace.functions.plan import once
-from millrace.operators import catalogue, matching, search, shape
+from millrace.operators import catalogue, matching, search, shape, vectors
 from millrace.plans import feeds
 from millrace.plans import oracle_feeds as O
 from millrace.plans.registry import query
+from millrace.session import run_dir
 
 # --- shaping -------------------------------------------------------------------
 
@@ -163,9 +164,7 @@ _STATS = f"""
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.vector_hits(
-        feeds.chunk_vectors(spark, sf_dir), feeds.search_requests(spark, sf_dir), min_score=MIN_SCORE
-    )
+    return vectors.hits(feeds.chunk_vectors(spark, sf_dir), feeds.search_requests(spark, sf_dir), MIN_SCORE)
 
 
 @query(O.sql("SELECT request_id, record_id, chunk_id, score FROM f_hits", f_hits=_HITS))
@@ -196,7 +195,10 @@ def search_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def search_hit_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = _hits(spark, sf_dir)
+    """Hits are scored once and kept as a table, from which statistics and lists are made."""
+    path = run_dir(spark, "hits")
+    _hits(spark, sf_dir).write.parquet(path)
+    hits = spark.read.parquet(path)
     lists = search.hit_lists(hits, search.search_statistics(hits), per_list=4, spread_by=F.col("chunk_id"))
     shown = F.transform("scores", lambda s: F.format_string("%.6f", s))
     return lists.select(
@@ -231,7 +233,7 @@ def search_page(spark: SparkSession, sf_dir: str) -> DataFrame:
              WHERE rank <= 3""")
 )
 def related_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    related = search.related_records(feeds.chunk_vectors(spark, sf_dir), feeds.search_requests(spark, sf_dir), k=3)
+    related = vectors.nearest_records(feeds.chunk_vectors(spark, sf_dir), feeds.search_requests(spark, sf_dir), k=3)
     return related.select("request_id", "record_id", "score", "rank")
 
 

@@ -192,31 +192,6 @@ def test_lookup_error_text(spark):
     assert texts == [f"{head}: T: d", f"{head}: T", f"{head}: Unknown error: d", f"{head} with status 404", f"{head} with status 404"]
 
 
-def test_shipped_and_joined_scores_agree(spark):
-    vectors, requests = feeds.chunk_vectors(spark, SMALL), feeds.search_requests(spark, SMALL)
-    for score in (None, 0.1):
-        shipped = search.vector_hits(vectors, requests, score)
-        joined = search.vector_hits(vectors, requests, score, max_shipped=2)
-        key = ["request_id", "record_id", "chunk_id"]
-        assert shipped.select(key).exceptAll(joined.select(key)).count() == 0
-        assert shipped.count() == joined.count()
-    best = {tuple(r) for r in search.best_scores(vectors, requests).collect()}
-    assert best == {tuple(r) for r in search.best_scores(vectors, requests, max_shipped=2).collect()}
-
-
-def test_vectors_without_direction_meet_nothing(spark):
-    kind = "record_id string, chunk_id long, embedding array<float>"
-    bad = [[0.0, 0.0], None, [1.0, None], [float("nan"), 1.0], [float("inf"), 1.0], [], [1.0, 0.0, 0.0]]
-    vectors = spark.createDataFrame([("a", 1, [1.0, 0.0]), (None, 2, [1.0, 1.0])] + [("b", 10 + i, v) for i, v in enumerate(bad)], kind)
-    rows = [("q", [2.0, 0.0]), ("p", [0.0, 3.0]), ("z", [0.0, 0.0]), ("n", None), ("m", [1.0, None])]
-    requests = spark.createDataFrame(rows, "request_id string, query_vector array<float>")
-    for most in (1024, 1):
-        found = {(r["request_id"], r["record_id"], r["chunk_id"], r["score"]) for r in search.vector_hits(vectors, requests, max_shipped=most).collect()}
-        assert found == {("q", "a", 1, 1.0), ("q", None, 2, 0.707107), ("p", "a", 1, 0.0), ("p", None, 2, 0.707107)}
-        best = {tuple(r) for r in search.best_scores(vectors, requests, max_shipped=most).collect()}
-        assert best == {(q, r, s) for q, r, _, s in found}
-
-
 def test_published_text_is_unescaped(spark):
     texts = ["a\nb", 'q"\\', "\U0001f600 \u00e9\t", "\\n", "", "\x01\x7f/"]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
