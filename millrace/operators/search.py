@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from millrace.operators.vectors import SCORE_DIGITS
+from millrace.session import shared_dir
 
 HIT_BOOST = 0.1
 HITS_PER_LIST = 256
@@ -65,3 +66,49 @@ def search_page(statistics: DataFrame, skip: int = 0, take: int = 10, score: str
     """One page of the ranking; Spark keeps only skip + take rows per partition."""
     ranked = statistics.orderBy(F.col(score).desc(), "request_id", "record_id")
     return ranked.offset(skip).limit(take)
+
+
+def write_ranking(statistics: DataFrame, path: str, score: str = "weighted_score") -> None:
+    """The whole ranking as a table in order, best first, with each row's ``position`` from 0.
+
+    Rows are sorted in range partitions.  A row's place in its partition comes from its row
+    id, and one count per partition, through the driver, tells where each partition starts.
+    """
+    context = statistics.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(statistics.sparkSession))
+    by = [F.col(score).desc(), "request_id", "record_id"]
+    ranked = statistics.repartitionByRange(*by).sortWithinPartitions(*by).checkpoint()
+    own = ranked.withColumn("_part", F.spark_partition_id()).withColumn(
+        "_row", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    )
+    counts = own.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()
+    starts, total = {}, 0
+    for r in counts:
+        starts[r["_part"]], total = total, total + r["n"]
+    start = F.element_at(F.create_map(*[F.lit(x) for pair in starts.items() for x in pair]), F.col("_part")) if starts else F.lit(0)
+    own.withColumn("position", (start + F.col("_row")).cast("long")).drop("_part", "_row").write.parquet(path)
+
+
+def page_at(ranking: DataFrame, position: int, take: int) -> DataFrame:
+    """Rows from a position on.  Both ends reach the scan, which skips all other row groups, so every page costs the same."""
+    return ranking.filter(F.col("position").between(position, position + take - 1)).orderBy("position")
+
+
+def page_after(ranking: DataFrame, last: tuple, take: int, score: str = "weighted_score") -> DataFrame:
+    """The page behind a row given as (score, request_id, record_id); the row need not be there any more.
+
+    The rows of the same score are the only ones read to find the place.
+    """
+    value, request, record = last
+    same = ranking.filter(F.col(score) == value)
+    behind = (F.col("request_id") > request) | ((F.col("request_id") == request) & (F.col("record_id") > record))
+    found = same.agg(F.min(F.when(behind, F.col("position"))).alias("first"), F.max("position").alias("last")).first()
+    if found["first"] is not None:
+        place = found["first"]
+    elif found["last"] is not None:
+        place = found["last"] + 1
+    else:
+        lower = ranking.filter(F.col(score) < value).agg(F.min("position")).first()[0]
+        place = lower if lower is not None else 1 << 62
+    return page_at(ranking, place, take)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas as S
 from millrace.functions import chunks as C
-from millrace.operators import chunk, infer
+from millrace.operators import alignment, chunk, infer
 from millrace.plans import feeds
 from millrace.plans import oracle_feeds as O
 from millrace.plans.registry import query
@@ -135,3 +135,28 @@ def split_oversize(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chunk_uuids(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chunk.chunk_rows(feeds.chunked(spark, sf_dir), "doc_id")
     return chunk.chunk_ids(rows).select("doc_id", "category", "chunk_id")
+
+
+# A quote of 200 letters is damaged where it would hold its 10th, 60th, 110th and 160th one.
+_DAMAGES = (10, 60, 110, 160)
+
+
+def _damaged(quote: str, substr: str) -> str:
+    """SQL, the same in both engines: the first ``doc_id % 5`` places get a letter that no text has."""
+    out = quote
+    for n, at in enumerate(_DAMAGES, 1):
+        kept = f"{substr}({out}, 1, {at - 1}) || '\u00a4' || {substr}({out}, {at + (1 if n % 2 else 0)})"
+        out = f"CASE WHEN doc_id % 5 >= {n} AND length({quote}) >= {at} THEN {kept} ELSE {out} END"
+    return out
+
+
+@query(
+    f"""SELECT doc_id, CASE WHEN marks <= 3 THEN marks END AS edits, marks > 0 AS damaged FROM (
+          SELECT doc_id, CAST(length(quote) - length(replace(quote, '\u00a4', '')) AS INTEGER) AS marks FROM (
+            SELECT doc_id, {_damaged("own", "substr")} AS quote FROM (SELECT doc_id, substr(text, 1 + doc_id % 50, 200) AS own FROM documents)))"""
+)
+def near_verbatim_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes of every document with up to four letters replaced or put in: edits up to three."""
+    docs = feeds.table(spark, sf_dir, "documents").select("doc_id", "text", F.expr("substr(text, 1 + CAST(doc_id % 50 AS INT), 200)").alias("own"))
+    quoted = docs.withColumn("quote", F.expr(_damaged("own", "substr"))).withColumn("damaged", F.contains("quote", F.lit("\u00a4")))
+    return alignment.audit(quoted, "text", "quote", "doc_id", "damaged").select("doc_id", "edits", "damaged")

@@ -226,6 +226,27 @@ def search_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page.select("request_id", "record_id", "weighted_score")
 
 
+@query(
+    O.sql(
+        """SELECT request_id, record_id, weighted_score, position FROM (
+             SELECT *, row_number() OVER (ORDER BY weighted_score DESC, request_id, record_id) - 1 AS position FROM f_stats)
+           WHERE position >= 25 AND position < 35""",
+        f_hits=_HITS,
+        f_stats=_STATS,
+    )
+)
+def search_page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page behind the last row of a first page of 25."""
+    path = run_dir(spark, "ranking")
+    search.write_ranking(search.search_statistics(_hits(spark, sf_dir)), path)
+    ranking = spark.read.parquet(path).select("request_id", "record_id", "weighted_score", "position")
+    first = search.page_at(ranking, 0, 25).collect()
+    if not first:
+        return ranking
+    last = first[-1]
+    return search.page_after(ranking, (last["weighted_score"], last["request_id"], last["record_id"]), 10)
+
+
 @query(
     O.sql("""SELECT request_id, record_id, score, CAST(rank AS INT) AS rank FROM (
                SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, record_id) AS rank
