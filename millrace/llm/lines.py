@@ -2,16 +2,17 @@
 
 Rules on one text come first (too few words, too many words in repeated windows).  Then
 each line is normalised (lower case, digits as 0, spaces squeezed) and hashed with its
-host.  A line is boilerplate when at least MOST_DOCUMENTS documents of the host hold it and
-when it stands among different neighbours: the distinct lines before it, or behind it, must
-be at least half as many as the documents.  Copies of one document keep their neighbours,
-so a text that was merely copied is not taken for boilerplate.  Boilerplate lines are
-removed; a document that keeps too few words is depleted and rejected.
-
-Counts cover all documents.  Two aggregations with a map-side half count documents and
-neighbours, so a line in a third of all documents is a few rows when it is shuffled.
-Null text has no words (base_failed).  Null is a host of its own.  Repeated rows count as
-one document each and each get a row.  Extra columns are ignored; an empty table is empty.
+host.  A line is boilerplate when at least MOST_DOCUMENTS different documents of the host
+hold it: documents of equal text are copies of one document and count once, however often
+a text was copied.  So the verdict on a line only depends on the texts that hold it, not on
+how many other documents there are.  Boilerplate lines are removed; a document that keeps
+too few words is depleted and rejected.
+
+Counts cover all documents.  Pairs of line and text are made distinct first and counted
+with a map-side half, so a line in a third of all documents is a few rows when counts meet.
+Null text has no words (base_failed).  Null is a host of its own.  Rows that repeat a text
+are one document in the counts, and each gets a row.  Extra columns are ignored; an empty
+table is empty.
 """
 
 from __future__ import annotations
@@ -81,34 +82,20 @@ def normalised(line: Column) -> Column:
 
 
 def line_places(docs: DataFrame, host: str = "source") -> DataFrame:
-    """doc_id, row_key, keys: the line keys of each text, in order, and the lines themselves."""
-    lines = docs.select("doc_id", row_key(host).alias("row_key"), F.col(host).alias("host"), word_lines(F.col("text")).alias("lines"))
+    """doc_id, row_key, text_key, keys: the line keys of each text, in order, and the lines themselves."""
+    facts = [row_key(host).alias("row_key"), F.xxhash64("text").alias("text_key"), F.col(host).alias("host")]
+    lines = docs.select("doc_id", *facts, word_lines(F.col("text")).alias("lines"))
     lines = once(lines.where(F.size("lines") > 0), lines=F.col("lines"))
     # The null flag keeps a null host apart from an empty one.
     key = lambda x: F.xxhash64(F.col("host").isNull(), F.col("host"), normalised(x))
-    return once(lines, keys=F.transform("lines", key)).select("doc_id", "row_key", "lines", "keys")
+    return once(lines, keys=F.transform("lines", key)).select("doc_id", "row_key", "text_key", "lines", "keys")
 
 
 def frequent_lines(docs: DataFrame, host: str = "source", most: int = MOST_DOCUMENTS) -> DataFrame:
-    """Keys of lines that many documents of a host hold among different neighbours."""
-    places = line_places(docs, host).select("keys")
-    beside = lambda i: F.coalesce(F.get(F.col("keys"), i), F.lit(0).cast("long"))
-    rows = F.transform("keys", lambda k, i: F.struct(k.alias("k"), i.alias("i"), beside(i - 1).alias("b"), beside(i + 1).alias("a")))
-    sorted_rows = once(places, s=F.sort_array(rows))
-    # The first place of each line in the document; a document counts once.
-    firsts = F.filter("s", lambda x, i: (i == 0) | (F.get(F.col("s"), i - 1)["k"] != x["k"]))
-    each = sorted_rows.select(F.explode(firsts).alias("f"))
-    sides = each.select(
-        F.col("f.k").alias("line_key"),
-        F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("f.b").alias("c")), F.struct(F.lit(1).alias("side"), F.col("f.a").alias("c")))).alias("n"),
-    )
-    seen = sides.groupBy("line_key", F.col("n.side").alias("side"), F.col("n.c").alias("c")).agg(F.count("*").alias("docs"))
-    lines = seen.groupBy("line_key").agg(
-        F.sum(F.when(F.col("side") == 0, F.col("docs"))).alias("docs"),
-        F.count_if(F.col("side") == 0).alias("before"),
-        F.count_if(F.col("side") == 1).alias("behind"),
-    )
-    return lines.where((F.col("docs") >= most) & (2 * F.greatest("before", "behind") >= F.col("docs"))).select("line_key", "docs")
+    """Keys of lines that many different documents of a host hold, and how many."""
+    places = line_places(docs, host)
+    held = places.select("text_key", F.explode(F.array_distinct("keys")).alias("line_key")).distinct()
+    return held.groupBy("line_key").agg(F.count("*").alias("docs")).where(F.col("docs") >= most)
 
 
 def judge(docs: DataFrame, host: str = "source", most: int = MOST_DOCUMENTS) -> DataFrame:
@@ -176,13 +163,8 @@ WITH d AS (
   FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
 ), dup AS (
   SELECT rn, count(*) - count(DISTINCT line) AS n FROM lw GROUP BY rn
-), ctx AS (
-  SELECT rn, source, k, words, p, lag(k) OVER (PARTITION BY rn ORDER BY p) AS b, lead(k) OVER (PARTITION BY rn ORDER BY p) AS a FROM lw
-), firsts AS (
-  SELECT source, k, coalesce(b, '') AS b, coalesce(a, '') AS a FROM ctx QUALIFY row_number() OVER (PARTITION BY rn, k ORDER BY p) = 1
 ), freq AS (
-  SELECT source, k FROM firsts GROUP BY source, k
-  HAVING count(*) >= 20 AND 2 * greatest(count(DISTINCT b), count(DISTINCT a)) >= count(*)
+  SELECT lw.source, k FROM lw JOIN d USING (rn) GROUP BY lw.source, k HAVING count(DISTINCT t) >= 20
 ), gone AS (
   SELECT rn, sum(words) AS n FROM lw JOIN freq ON lw.k = freq.k AND lw.source IS NOT DISTINCT FROM freq.source GROUP BY rn
 ), f AS (

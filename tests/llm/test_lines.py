@@ -14,17 +14,13 @@ def split(text):
 
 
 def plain(rows, most):
-    docs, before, behind = Counter(), defaultdict(set), defaultdict(set)
+    docs = defaultdict(set)
     norm = lambda x: re.sub("[1-9]", "0", re.sub(r"[\x20\x09-\x0D]+", " ", x).strip(" ").lower())
     own = [[x for x in (t or "").split("\n") if split(x)] for _, t, _ in rows]
-    for (_, _, s), ls in zip(rows, own):
-        keys = [(s, norm(x)) for x in ls]
-        for k in set(keys):
-            i = keys.index(k)
-            docs[k] += 1
-            before[k].add(keys[i - 1] if i else None)
-            behind[k].add(keys[i + 1] if i + 1 < len(keys) else None)
-    bad = {k for k, n in docs.items() if n >= most and 2 * max(len(before[k]), len(behind[k])) >= n}
+    for (_, t, s), ls in zip(rows, own):
+        for x in ls:
+            docs[s, norm(x)].add(t)
+    bad = {k for k, texts in docs.items() if len(texts) >= most}
     out = []
     for (d, t, s), ls in zip(rows, own):
         w = split(t)
@@ -78,3 +74,18 @@ def test_remove_lines(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r.doc_id: r.clean_text for r in lines.remove_lines(docs).collect()}
     assert got == {i: f"own {name[i]} words\n\nend {name[i]}é" for i in range(30)}
+
+
+def test_verdicts_do_not_follow_the_size_of_the_table(spark):
+    """A three-line header over 25 texts goes whole, beside few or many other documents; copies make nothing frequent."""
+    head = "Terms of this site\nAll rights are reserved\nRead our rules first"
+    body = lambda i, n: "\n".join(f"own line {chr(97 + i % 26)}{chr(97 + i // 26)} " + " ".join(f"{chr(97 + k)}{c}" for c in "qrstuvwxyzab") for k in range(n))
+    rows = [(i, f"{head}\n{body(i, 3)}", "h") for i in range(25)]
+    copies = [(1000 + i, body(600, 4), "h") for i in range(60)]
+    for others in (0, 400):
+        more = [(2000 + i, body(26 + i, 2), "h") for i in range(others)]
+        docs = spark.createDataFrame(rows + copies + more, "doc_id long, text string, source string").repartition(3)
+        got = {r.doc_id: (r.n_removed_words, r.kept) for r in lines.judge(docs).collect()}
+        assert {got[i] for i in range(25)} == {(12, True)}
+        assert {got[1000 + i] for i in range(60)} == {(0, True)}
+        assert all(got[2000 + i] == (0, True) for i in range(others))
