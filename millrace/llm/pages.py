@@ -9,15 +9,16 @@ A line is text between block tags, outside of markup, scripts and styles.  What
 lines equal depends on where they stand.  Menus, headers, footers, sidebars, notices,
 adverts, forms and reader comments are slots of the template: they are equal when the slot
 is, because their wording may change from page to page.  Other lines are equal when their
-text is.  A slot is named by a tag, a role or a whole class name or id.  html, body, main
-and article are never slots, nor is anything around the article (the first main, else the
-longest article) except nav, aside and footer.
+text is.  A slot is named by a tag, a role, or a class name or id: a whole one, or the last
+part of a compound one (site-header, main_nav) that does not begin with "no".  html, body,
+main and article are never slots, headings not by their class, nor is anything around the
+article (the first main, else the longest article) except nav, aside and footer.
 
 A slot is deleted when the neighbour has it too, another line when the alignment shares it.
 A page without a neighbour is held against a general template, which has every slot and no
-other line.  Lines inside an article are never deleted for their wording, and a page that
-shares most of its words with its neighbour is a copy and keeps them: the contract asks for
-the article, also where two pages carry the same.
+other line.  Lines inside an article are never deleted for their wording, and a page without
+a word of its own is a copy of its neighbour and keeps what they share: the contract asks
+for the article, also where two pages carry the same.
 
 Null html is empty.  Pages without a host have no neighbour.  Repeated rows repeat, extra
 columns are ignored, empty tables are fine.
@@ -60,7 +61,11 @@ SLOT_NAMES = frozenset(
     " sharing comment comments respond disqus promo promotion sponsor sponsored related widget pagination pager toolbar"
     " copyright".split()
 )
+COMPOUND_NAMES = SLOT_NAMES | {"header"}
+DENIED = frozenset("no not without hide hidden".split())
+PARTS = re.compile("[-_]+")
 NO_SLOTS = frozenset("html body main article".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FIRM_TAGS = frozenset("nav aside footer".split())  # slots even around an article
 
 Line = tuple[str, str, bool]  # slot or "", text, inside an article
@@ -78,6 +83,14 @@ class Open:
 Around = tuple[Open, ...]  # the slots and articles around a line, outermost first
 
 
+def names_slot(word: str) -> bool:
+    """Whether a class name or id is that of a slot."""
+    if word in SLOT_NAMES:
+        return True
+    first, *_, last = PARTS.split(word) if "-" in word or "_" in word else ("", "")
+    return last in COMPOUND_NAMES and first not in DENIED
+
+
 def slot_of(tag: str, attributes: str, inside: bool) -> str:
     """Name of the template slot that a tag opens, or nothing."""
     if tag in NO_SLOTS or not attributes and tag not in SLOT_TAGS and tag != "header":
@@ -86,7 +99,7 @@ def slot_of(tag: str, attributes: str, inside: bool) -> str:
     if attributes:
         names = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
     words = f"{names.get('class', '')} {names.get('id', '')}".lower().split()
-    found = next((w for w in words if w in SLOT_NAMES), "")
+    found = next((w for w in words if names_slot(w)), "") if tag not in HEADINGS else ""
     if found or tag in SLOT_TAGS or names.get("role", "").lower() in SLOT_ROLES or tag == "header" and not inside:
         return f"{tag}.{found}"
     return ""
@@ -219,10 +232,9 @@ def main_text(source: str, partner: list[int] | None) -> str:
     lines = page_lines(source)
     keys, members = line_keys(lines)
     same = shared(keys, partner) if partner else set()
-    size = lambda i: len(lines[i][1].split())
     texts = [i for i, (slot, _, _) in enumerate(lines) if not slot]
     common = [members[k][0] for k in same if not lines[members[k][0]][0]]
-    copy = 2 * sum(map(size, common)) > sum(map(size, texts))
+    copy = len(common) == len(texts)
     gone = set() if copy else {i for i in common if not lines[i][2]}
     theirs = set(partner) if partner else None
     for key, places in zip(keys, members):

@@ -97,3 +97,59 @@ def test_table(spark):
     again = pages.extract(table.coalesce(1)).collect()
     assert sorted(map(repr, got)) == sorted(map(repr, again))
     assert pages.extract(table.limit(0)).count() == 0
+
+
+def test_long_shared_lines_beside_a_short_story():
+    keys = lambda x: pages.line_keys(pages.page_lines(x))[0]
+    long = "a very long line about this site and all that it offers to its readers every day " * 3
+    page = f"<div>{long}</div><p>story %s</p><div>{long}</div>"
+    assert pages.main_text(page % 1, keys(page % 2)) == "story 1"
+    assert pages.main_text(page % 1, keys(page % 1)).count("story") == 1
+
+
+def test_compound_names():
+    keys = lambda x: pages.line_keys(pages.page_lines(x))[0]
+    page = (
+        "<div class='site-header'>head {n}</div><div id='main_nav'>go {n}</div><div class='x cookie-banner'>ok {n}</div>"
+        "<article><h2 class='related'>Related work {n}</h2><p class='no-menu'>text {n}</p><div class='post-comments'>me {n}</div></article>"
+        "<div class='site-footer'>foot {n}</div>"
+    )
+    for partner in (keys(page.format(n=2)), None):
+        assert pages.main_text(page.format(n=1), partner) == "Related work 1\ntext 1"
+
+
+def longest_common(a, b):
+    """Places of a on the longest common subsequence that takes matches early, by the whole table."""
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            table[i][j] = table[i + 1][j + 1] + 1 if a[i] == b[j] else max(table[i + 1][j], table[i][j + 1])
+    return table[0][0]
+
+
+def test_whole_hosts_without_class_names(spark):
+    """All pages of three hosts against brute force: the nearest neighbour by path, and no line of the template left."""
+    rng = random.Random(6)
+    rows, own = [], {}
+    for h in range(3):
+        head = [f"Welcome to host {h}", "All our stories"]
+        foot = ["All rights reserved", f"Written by the people of host {h}"]
+        for n in range(40):
+            path = f"/{rng.choice('ab')}/{rng.choice('cd')}/{n:02}"
+            story = [f"story {h} {n} {k} " + " ".join(rng.choices("abcdefgh", k=5)) for k in range(rng.randint(1, 5))]
+            lines = [*head, *story[:2], "Read on", *story[2:], *foot]
+            page_id = 100 * h + n
+            own[page_id] = (f"h{h}", path, lines, story)
+            rows.append((page_id, f"http://h{h}{path}", "".join(f"<div>{x}</div>" for x in lines)))
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    for page_id, (host, path, lines, story) in own.items():
+        same_host = sorted((p, i) for i, (g, p, *_) in own.items() if g == host)
+        place = same_host.index((path, page_id))
+        around = [same_host[k] for k in (place - 1, place + 1) if 0 <= k < len(same_host)]
+        alike = lambda p: next((i for i, (x, y) in enumerate(zip(p, path)) if x != y), min(len(p), len(path)))  # noqa: E731, B023
+        nearest = own[max(around, key=lambda x: alike(x[0]))[1]][2]
+        shared = longest_common(lines, nearest)
+        assert got[page_id] == "\n".join(story)
+        assert shared == len(lines) - len(story)  # all the template, and nothing else, is on the alignment
+    alone = pages.extract(spark.createDataFrame([(1, "http://solo/x", rows[0][2])], "page_id long, url string, html string"))
+    assert alone.first().text != got[0]  # without the neighbour the template stays
