@@ -28,8 +28,8 @@ def strict_json(text: Column) -> Column:
     """
     listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     named = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    whole = named.isNotNull() & (F.size(F.try_variant_get(listed, "$", "array<variant>")) == 1)
-    return F.when(whole, F.try_parse_json(text))
+    items = F.try_variant_get(listed, "$", "array<variant>")
+    return F.when(named.isNotNull() & (F.size(items) == 1), F.get(items, F.lit(0)))
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:

@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions import chunks as C
 from millrace.functions.plan import once
-from millrace.functions.text import SPACE
 from millrace.operators.clean import LIST_TOOLS, LOOKUP_TOOL, tool_summary
 from millrace.operators.decode import as_chunks, exact_keys, strict_json
 from millrace.schemas import CATEGORIES
@@ -76,7 +74,8 @@ def syntax_error(answer: Column) -> Column:
 
 
 def repair_request(messages: Column, answer: Column, error: Column) -> Column:
-    told = F.concat(F.lit(repair_text("")), error, F.lit("\nYour last answer:\n"), answer)
+    """The messages, the answer that is no JSON, and the repair message: what ``call_model`` sends."""
+    told = F.concat(F.lit(repair_text("")), error)
     return F.array_append(F.array_append(messages, _message("assistant", answer)), _message("user", told))
 
 
@@ -97,7 +96,11 @@ def last_answer(messages: Column) -> Column:
 
 
 def parse_answer(answer: Column) -> Column:
-    return F.from_json(answer, "array<map<string,string>>")
+    """The objects of a list answer; of a key that an object repeats, the last value counts."""
+    kind = "array<map<string,string>>"
+    repeated = lambda m: F.size(F.array_distinct(F.map_keys(m))) < F.size(m)
+    maps = F.from_json(answer, kind)
+    return F.when(F.exists(maps, repeated), F.from_json(F.to_json(strict_json(answer)), kind)).otherwise(maps)
 
 
 def _verdict(answer: Column, maps: Column) -> Column:
@@ -115,10 +118,12 @@ def _verdict(answer: Column, maps: Column) -> Column:
 def resolve(answers: DataFrame, first: str = "first_answer", second: str = "second_answer") -> DataFrame:
     """Outcome of one or two attempts per row.
 
-    Only a syntax error makes the second answer count, and its failure is final.
+    Only a syntax error makes the second answer count, and its failure is final.  Rows of
+    ``call_model`` say themselves whether they were asked again.
     ``chunks`` is null unless the deciding answer is a list with exact keys.
     """
-    broken = (F.col(first) != "") & strict_json(F.col(first)).isNull()
+    told = "asked_again" in answers.columns
+    broken = F.col("asked_again") if told else (F.col(first) != "") & strict_json(F.col(first)).isNull()
     judged = once(answers, attempts=F.when(broken, 2).otherwise(1))
     judged = judged.withColumn("answer", F.when(F.col("attempts") == 2, F.col(second)).otherwise(F.col(first)))
     judged = once(judged, maps=parse_answer(F.col("answer")))
@@ -168,43 +173,17 @@ Model = Callable[[list[list[dict]]], list[str | None]]
 ModelFactory = Callable[[], Model]
 
 
-def rule_model() -> Model:
-    """Default model: the categoriser's cues on the fenced source text, no network."""
-    cues = {name: re.compile(C.cue_pattern(name).replace(r"[^\p{L}]", r"[\W\d_]")) for name in C.CUES}
-    blank = re.compile(f"[{_python_class(SPACE)}]*")
-
-    def label(text: str) -> str:
-        hits = {name: len(cue.findall(text)) for name, cue in cues.items()}
-        best = max(hits, key=hits.get)
-        return best if hits[best] else C.FALLBACK
-
-    def answer(messages: list[dict]) -> str:
-        user = messages[1]["content"]
-        source = user[user.index(SOURCE_OPEN) + len(SOURCE_OPEN) : user.rindex(SOURCE_CLOSE)]
-        merged: dict[str, list[str]] = {}
-        for line in source.split("\n"):
-            if not blank.fullmatch(line):
-                merged.setdefault(label(line), []).append(line)
-        return json.dumps([{"category": k, "content": "\n".join(v)} for k, v in merged.items()])
-
-    return lambda batch: [answer(messages) for messages in batch]
-
-
-def _python_class(java_class: str) -> str:
-    return re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: f"\\U{int(m.group(1), 16):08x}", java_class)
-
-
 def call_model(
     requests: DataFrame,
     key: str,
+    factory: ModelFactory,
     messages: str = "messages",
-    factory: ModelFactory = rule_model,
     repair: bool = True,
     row_seconds: float | None = 60.0,
 ) -> DataFrame:
     """Send every row's messages to the model, batch by Arrow batch.
 
-    The model is built once per task.  A row whose answer is no JSON is asked again in
+    ``factory`` connects to a model; it runs once per task.  A row whose answer is no JSON is asked again in
     the same pass, with the repair message added: the costly call is never repeated by
     a second branch of the plan.  A batch that fails or takes longer than
     ``row_seconds`` a row is asked again row by row; a row that then fails or takes longer
@@ -213,7 +192,7 @@ def call_model(
     none through it.
     """
     wanted = requests.select(key, messages)
-    schema = f"{key} {wanted.schema[key].dataType.simpleString()}, first_answer string, second_answer string, error string"
+    schema = f"{key} {wanted.schema[key].dataType.simpleString()}, first_answer string, second_answer string, asked_again boolean, error string"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = factory()
@@ -234,7 +213,10 @@ def call_model(
                 fixed, problems = _guarded(model, retry, row_seconds)
                 for i, text, problem in zip(again, fixed, problems):
                     second[i], errors[i] = text, errors[i] or problem
-            yield pd.DataFrame({key: frame[key], "first_answer": first, "second_answer": second, "error": errors})
+            asked = np.isin(np.arange(len(batch)), again)
+            yield pd.DataFrame(
+                {key: frame[key], "first_answer": first, "second_answer": second, "asked_again": asked, "error": errors}
+            )
 
     return wanted.mapInPandas(run, schema)
 
@@ -244,11 +226,16 @@ def _plain(message) -> dict:
 
 
 def _json_problem(text: str) -> str | None:
+    """As ``syntax_error``: repeated keys are allowed, NaN and infinities are no JSON."""
+
+    def refuse(name: str):
+        raise ValueError(name)
+
     try:
-        json.loads(text)
+        json.loads(text, parse_constant=refuse)
         return None
-    except json.JSONDecodeError as problem:
-        return str(problem)
+    except (ValueError, RecursionError):
+        return f"no JSON value in {len(text)} characters"
 
 
 def _guarded(model: Model, batch: list[list[dict]], seconds: float | None) -> tuple[list[str | None], list[str | None]]:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from millrace import schemas as S
 from millrace.functions.plan import once
 from millrace.operators import chunk
+from millrace.session import LANES
 
 # Text put before and after a document, by doc_id modulo 16.
 DECORATIONS = {
@@ -41,8 +42,14 @@ DECORATIONS = {
 BASE_INSTANT = "2024-01-01 00:00:00"
 
 
+DEALT = ("documents", "conversations", "events", "pages")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table; the ones that feed costly maps in as many lanes as the session asks for."""
+    read = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    lanes = spark.conf.get(LANES, None)
+    return read.repartition(int(lanes)) if lanes and name in DEALT else read
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import catalog
+from millrace.functions import chunks as C
 from millrace.functions import text as X
 from millrace.functions.plan import once
 from millrace.operators import chunk, clean, infer
@@ -81,7 +82,7 @@ def build_repair_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("messages").alias("n_messages"),
         last["role"].alias("last_role"),
         F.char_length(F.element_at("messages", -2)["content"]).cast("long").alias("answer_chars"),
-        F.regexp_extract(last["content"], r"Problem: ([^\n]*)\n", 1).alias("error"),
+        F.regexp_extract(last["content"], r"Problem: (.*)$", 1).alias("error"),
     )
 
 
@@ -90,9 +91,11 @@ def build_repair_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
               FROM (SELECT doc_id, pos, span, {O.category("span")} AS category FROM f_lines) GROUP BY doc_id, category""")
 )
 def batch_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = feeds.docs(spark, sf_dir).select("doc_id", infer.chunk_request(F.col("content")).alias("messages"))
-    resolved = infer.resolve(infer.call_model(docs, "doc_id"))
-    return chunk.chunk_rows(resolved, "doc_id").select("doc_id", "category", "content")
+    """Answers by rule for every document, judged like a model's: lines by category as a JSON list."""
+    docs = once(feeds.docs(spark, sf_dir).select("doc_id", "content"), spans=C.label_blocks(C.split_spans(F.col("content"))))
+    merged = once(docs, list=C.merge_blocks(F.col("spans")))
+    answers = merged.select("doc_id", F.to_json("list").alias("first_answer"), F.lit(None).cast("string").alias("second_answer"))
+    return chunk.chunk_rows(infer.resolve(answers), "doc_id").select("doc_id", "category", "content")
 
 
 @query(

@@ -18,8 +18,14 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Of a key that a JSON object repeats, the last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+#: Partitions that the text feeds are dealt into, for tables in fewer row groups than there
+#: are cores.  Not set: as the files are cut, which is right for tables of many row groups.
+LANES = "spark.millrace.lanes"
+
 # Fixed when a session starts.  No call-site capture per column function: building a
 # large plan then takes far fewer calls into the JVM.
 START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}

@@ -5,12 +5,13 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from millrace.session import local_session  # noqa: E402
+from millrace.session import LANES, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, shuffle_partitions=4)
     session.sparkContext.setLogLevel("OFF")
+    session.conf.set(LANES, "4")
     yield session
     session.stop()

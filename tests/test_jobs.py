@@ -362,3 +362,43 @@ def test_republish_without_a_list(spark):
     found = lambda ids, all_: sorted(r.v for r in catalogue.republish_set(records, ids, "id", all_).collect())
     assert found(ids, True) == found(ids, False) == [1]
     assert found(ids.limit(0), True) == [1, 2, 3] and found(ids.limit(0), False) == []
+
+
+def test_worker_and_judge_read_json_alike(spark):
+    repeated = '[{"category":"a","content":"x","content":"y"}]'
+    answers = {
+        repeated: ("ok", 1, "y"),
+        '[{"category":"a","content":"x"}]': ("ok", 1, "x"),
+        '[{"category":"a","content":"x"}] Done!': ("bad_syntax", 2, None),
+        '[{"category":"a","content":NaN}]': ("bad_syntax", 2, None),
+        '[{"category":"a"}]': ("wrong_keys", 1, None),
+        '{"category":"a","content":"x"}': ("not_a_list", 1, None),
+        "[]": ("empty_list", 1, None),
+        "": ("no_answer", 1, None),
+    }
+    frame = spark.createDataFrame([(a,) for a in answers], "id string")
+    asked = frame.select("id", infer.chunk_request(F.col("id")).alias("messages"))
+
+    def parrot():
+        def said(messages):
+            text = messages[1]["content"]
+            return text[text.index(infer.SOURCE_OPEN) + len(infer.SOURCE_OPEN) : text.rindex(infer.SOURCE_CLOSE)]
+
+        return lambda batch: [said(m) for m in batch]
+
+    told = infer.call_model(asked, "id", parrot)
+    for judged in (infer.resolve(told), infer.resolve(told.drop("asked_again"))):
+        got = {r.id: (r.status, r.attempts, r.chunks[0].content if r.chunks else None) for r in judged.collect()}
+        assert got == answers
+
+
+def test_repair_message_is_the_one_that_is_sent(spark):
+    bad = "[no"
+    frame = spark.createDataFrame([("1", "text")], "id string, text string").select("id", infer.chunk_request(F.col("text")).alias("messages"))
+
+    def echo():
+        return lambda batch: [bad if len(m) == 2 else json.dumps(m) for m in batch]
+
+    sent = json.loads(infer.call_model(frame, "id", echo).first().second_answer)
+    request = infer.repair_request(F.col("messages"), F.lit(bad), infer.syntax_error(F.lit(bad)))
+    assert sent == [m.asDict() for m in frame.select(request.alias("m")).first().m]
