@@ -15,7 +15,7 @@ Repeated rows are separate rows.  An empty table, or one without words, gives ta
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.common import bounded, durable, running_before, word_count
 from millrace.llm.quality import AdditiveModel, score
@@ -100,12 +100,26 @@ def repeat_taken(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The documents of the mix with the columns of ``docs``: one row for each time a document is taken.
 
     The last copy of a document at the edge of a budget holds its first words only, and its
-    n_chars follows.
+    n_chars follows.  Rows of equal id and text share what the mix takes of them: each row
+    gets the words of one of their rows in ``mixed``.
     """
-    take = mixed.groupBy("row_key").agg(F.max("size").alias("size"), F.max("taken").alias("taken"))
+    # Equal rows follow each other in the mix, so their words have at most three values:
+    # with the fractional pass, at its edge, and behind it.
+    values = mixed.groupBy("row_key", "taken").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("rows"))
+    shares = F.sort_array(F.collect_list(F.struct("taken", "rows")), asc=False)
+    take = values.groupBy("row_key").agg(F.max("size").alias("size"), shares.alias("shares"))
     # The columns of a document stay in one struct, so none of them meets a name used here.
     whole = docs.select(F.struct(*docs.columns).alias("doc"), row_key().alias("row_key"))
-    joined = whole.join(take, "row_key").where("taken > 0")
+    whole = whole.withColumn("number", F.row_number().over(Window.partitionBy("row_key").orderBy("row_key")))
+    found = F.aggregate(
+        "shares",
+        F.struct(F.col("number").cast("long").alias("left"), F.lit(0).cast("long").alias("taken")),
+        lambda state, share: F.struct(
+            (state["left"] - share["rows"]).alias("left"),
+            F.when((state["left"] > 0) & (state["left"] <= share["rows"]), share["taken"]).otherwise(state["taken"]).alias("taken"),
+        ),
+    )["taken"]
+    joined = whole.join(take, "row_key").withColumn("taken", found).where("taken > 0")
     copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
     each = joined.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
     words = F.least(F.col("size"), F.col("taken") - (F.col("copy") - 1) * F.col("size"))

@@ -119,3 +119,15 @@ def test_word_count(spark):
 def test_cut(spark):
     df = spark.createDataFrame([("  a b\n c", 2), ("a", 1), ("a b", 0), ("a\tb", 5)], "t string, n int")
     assert [r[0] for r in df.select(mixing.cut_words(F.col("t"), F.col("n"))).collect()] == ["  a b", "a", "", "a\tb"]
+
+
+def test_equal_rows_share_what_is_taken(spark):
+    """Four equal rows and others: what is handed out is what the mix holds, row by row."""
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, "a", 10)] * 4 + [(2, "other words here", "a", 16), (3, "b " * 200, "b", 400), (4, None, "b", 0), (1, text, "b", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    mixed = mixing.mix_sources(docs, None)
+    expected = sum(r.taken for r in mixed.collect())
+    out = mixing.repeat_taken(docs, mixed).collect()
+    assert sum(len((r.text or "").split()) for r in out) == expected
+    assert all(r.text in (x[1] for x in rows) or any((x[1] or "").startswith(r.text) for x in rows) for r in out)
