@@ -4,7 +4,8 @@ A rule (host, path, action) fits its host and every subdomain when the page's pa
 with the rule's path.  With the labels of a host reversed ("net.example.") each rule is an
 interval of keys, and intervals nest or are disjoint.  Pages are range-partitioned by key;
 a sorted sweep in each partition keeps a stack of the intervals that are open.  A rule goes
-to every partition that its interval meets, found from the partitions' first and last keys.
+to every partition that its interval meets, found from the partitions' first and last keys;
+rules and pages pass the sweep as one sorted stream of rows.
 
 The longest rule wins (host and path together; then the longer host, then the text, then
 "allow").  Pages that no rule fits get the default verdict.  Null urls and urls without
@@ -24,7 +25,6 @@ from millrace.llm.common import bounded, durable
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOP = "\U0010ffff"
-KEYED = "page_id long, host string, path string, key string"
 RESULT = "page_id long, host string, path string, rule string, verdict string"
 
 
@@ -46,26 +46,41 @@ def key_of(host: Column) -> Column:
     )
 
 
-def sweep(pages: Iterator[tuple], rules: list[tuple], default: str) -> Iterator[tuple]:
-    """Pages in key order against rules (prefix, path, name, action): a stack of open intervals."""
-    rules = sorted(rules, key=lambda r: (r[0], r[1], r[2], r[3] != "allow"))
-    at, open_rules = 0, []
-    last, groups = None, []
-    for page_id, host, path, key in pages:
-        if key != last:
-            while open_rules and not key.startswith(open_rules[-1][0]):
-                open_rules.pop()
-            while at < len(rules) and rules[at][0] <= key:
-                prefix = rules[at][0]
-                if prefix and key.startswith(prefix):
-                    if not open_rules or open_rules[-1][0] != prefix:
-                        open_rules.append((prefix, []))
-                    open_rules[-1][1].append(rules[at][1:])
-                at += 1
-            last, groups = key, [r for _, own in open_rules for r in own]
-        fits = [r for r in groups if path.startswith(r[0])]
-        best = min(fits, key=lambda r: (-len(r[1]), len(r[0]), r[1], r[2] != "allow"), default=None)
-        yield page_id, host, path, best and best[1], best[2] if best else default
+class Sweep:
+    """Rows in key order: rules open intervals, pages are judged by the intervals around them."""
+
+    def __init__(self, default: str):
+        self.default, self.part, self.stack = default, None, []
+
+    def move(self, part: int, key: str) -> None:
+        """Close the intervals that do not hold the key."""
+        if part != self.part:
+            self.part, self.stack = part, []
+        while self.stack and not key.startswith(self.stack[-1][0]):
+            self.stack.pop()
+
+    def open(self, part: int, key: str, path: str, name: str, action: str) -> None:
+        self.move(part, key)
+        if not self.stack or self.stack[-1][0] != key:
+            self.stack.append((key, {}, set()))
+        _, paths, lengths = self.stack[-1]
+        lengths.add(len(path))
+        # Rules may repeat a host in other letters, or a host and path with another action.
+        rules = [paths[path], (name, action)] if path in paths else [(name, action)]
+        paths[path] = min(rules, key=lambda r: (r[0], r[1] != "allow"))
+
+    def judge(self, part: int, key: str, path: str) -> tuple[str | None, str]:
+        self.move(part, key)
+        best = None
+        for _, paths, lengths in self.stack:
+            # The longest path of a host gives its longest rule.
+            for length in sorted(lengths, reverse=True):
+                found = paths.get(path[:length]) if length <= len(path) else None
+                if found:
+                    rank = (-len(found[0]), length, found[0], found[1] != "allow")
+                    best = min(best, (rank, found), key=lambda x: x[0]) if best else (rank, found)
+                    break
+        return best[1] if best else (None, self.default)
 
 
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
@@ -107,15 +122,25 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
         .distinct()
         .mapInArrow(spread, "part int, prefix string, path string, name string, action string")
     )
-
-    def merge(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        table = left.sort_by([("key", "ascending")])
-        rows = zip(*(table.column(c).to_pylist() for c in ("page_id", "host", "path", "key")))
-        own = list(zip(*(right.column(c).to_pylist() for c in ("prefix", "path", "name", "action"))))
-        found = list(sweep(rows, own, default))
-        columns = list(zip(*found)) if found else [[]] * 5
-        types = [pa.int64(), *[pa.string()] * 4]
-        names = ["page_id", "host", "path", "rule", "verdict"]
-        return pa.table([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
-
-    return numbered.groupBy("part").cogroup(sent.groupBy("part")).applyInArrow(merge, RESULT)
+    # Rules stand before the pages of an equal key.  Nothing but the open intervals is held.
+    rows = sent.select("part", F.col("prefix").alias("key"), F.lit(False).alias("page"), F.lit(None).cast("long").alias("page_id"),
+                       F.lit("").alias("host"), "path", "name", "action")
+    rows = rows.unionByName(numbered.withColumn("page", F.lit(True)), allowMissingColumns=True)
+    merged = rows.repartition("part").sortWithinPartitions("part", "key", "page")
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = Sweep(default)
+        for batch in batches:
+            pages, verdicts = batch.column("page").to_pylist(), []
+            columns = (batch.column(c).to_pylist() for c in ("part", "key", "path", "name", "action"))
+            for page, part, key, path, name, action in zip(pages, *columns):
+                if page:
+                    verdicts.append(state.judge(part, key, path))
+                else:
+                    state.open(part, key, path, name, action)
+            own = batch.filter(batch.column("page"))
+            found = {c: own.column(c) for c in ("page_id", "host", "path")}
+            found |= {c: pa.array([v[i] for v in verdicts], pa.string()) for i, c in enumerate(("rule", "verdict"))}
+            yield pa.RecordBatch.from_pydict(found)
+
+    return merged.mapInArrow(sweep, RESULT)
