@@ -34,6 +34,7 @@ from millrace.llm.components import components
 CHUNKS, PER_CHUNK = 10, 6
 PLACES = CHUNKS * PER_CHUNK
 NULL_ID = -(2**63)
+SALTS = 32
 # Odd multipliers of the minhashes, from a fixed stream.
 FACTORS = mix(np.arange(1, PLACES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 COLUMNS = [f"c{i}" for i in range(CHUNKS)]
@@ -60,22 +61,30 @@ def class_of(own: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(own.tobytes()) - 2**63
 
 
+def text_key(text: str) -> bytes:
+    """128 bits for a text; null counts as empty."""
+    return xxhash.xxh3_128_digest(text.encode())
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, own, n_shingles, node (the class) and the chunks of the signature."""
+    """doc_id, own, n_shingles, node (the class), text_key and the chunks of the signature."""
     source = docs.select("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)).alias("own"), "text")
 
     def make():
         def run(batch: pa.RecordBatch) -> dict:
-            sets = [shingles(t, width) for t in texts_of(batch.column(2))]
+            sets, keys = [], []
+            for text in texts_of(batch.column(2)):
+                sets.append(shingles(text, width))
+                keys.append(text_key(text))
             chunks = np.array([signature(s) for s in sets]).reshape(len(sets), CHUNKS)
             columns = {"doc_id": batch.column(0), "own": batch.column(1)}
             columns |= {"n_shingles": pa.array([len(s) for s in sets], pa.int64())}
-            columns |= {"node": pa.array([class_of(s) for s in sets], pa.int64())}
+            columns |= {"node": pa.array([class_of(s) for s in sets], pa.int64()), "text_key": pa.array(keys, pa.binary())}
             return columns | {c: pa.array(chunks[:, i]) for i, c in enumerate(COLUMNS)}
 
         return run
 
-    kind = "doc_id long, own long, n_shingles long, node long, " + ", ".join(f"{c} long" for c in COLUMNS)
+    kind = "doc_id long, own long, n_shingles long, node long, text_key binary, " + ", ".join(f"{c} long" for c in COLUMNS)
     return arrow_pass(source, kind, make)
 
 
@@ -116,31 +125,29 @@ class Sets:
     def __init__(self, docs: DataFrame, reps: DataFrame, width: int):
         bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(reps))
         own = F.coalesce("doc_id", F.lit(NULL_ID))
-        source = docs.select(own.alias("rep"), id_bit(own).alias("bit"), "text")
+        source = docs.select(id_bit(own).alias("bit"), "text")
 
         def make():
             bits = bitmap.value
 
             def run(batch: pa.RecordBatch) -> dict:
-                mask = in_bitmap(bits, batch.column(1).to_numpy())
+                mask = in_bitmap(bits, batch.column(0).to_numpy())
                 chosen = batch.filter(pa.array(mask))
-                sets = [shingles(t, width) for t in texts_of(chosen.column(2))]
+                sets = [shingles(t, width) for t in texts_of(chosen.column(1))]
                 return {
                     "node": pa.array([class_of(s) for s in sets], pa.int64()),
-                    "rep": chosen.column(0),
                     "cells": pa.array([short_cells(s) for s in sets], pa.binary()),
                 }
 
             return run
 
-        found = arrow_pass(source, "node long, rep long, cells binary", make)
-        self.table = durable(found.groupBy("node", "rep").agg(F.first("cells").alias("cells")))
+        found = arrow_pass(source, "node long, cells binary", make)
+        self.table = durable(found.groupBy("node").agg(F.first("cells").alias("cells")))
 
     def check(self, pairs: DataFrame, percent: int) -> DataFrame:
-        """a, b, other, both, linked for pairs (node, other): a class and the first id of the class b
-        that it is compared with; ``both`` is the size of the intersection."""
-        right = self.table.select(F.col("rep").alias("other"), F.col("node").alias("b"), F.col("cells").alias("with"))
-        joined = pairs.join(self.table.select("node", "cells"), "node").join(right, "other").where("node != b")
+        """a, b, both, linked for pairs (node, other) of classes; ``both`` is the size of the intersection."""
+        right = self.table.select(F.col("node").alias("other"), F.col("cells").alias("with"))
+        joined = pairs.join(self.table, "node").join(right, "other")
 
         def make():
             def run(batch: pa.RecordBatch) -> dict:
@@ -149,20 +156,19 @@ class Sets:
                 linked = [100 * both >= percent * (x + y - both) for both, x, y in found]
                 return {
                     "a": batch.column("node"),
-                    "b": batch.column("b"),
-                    "other": batch.column("other"),
+                    "b": batch.column("other"),
                     "both": pa.array([f[0] for f in found], pa.int64()),
                     "linked": pa.array(linked, pa.bool_()),
                 }
 
             return run
 
-        kind = "a long, b long, other long, both long, linked boolean"
-        return arrow_pass(joined.select("node", "b", "other", "cells", "with"), kind, make)
+        kind = "a long, b long, both long, linked boolean"
+        return arrow_pass(joined.select("node", "other", "cells", "with"), kind, make)
 
     def outlines(self, members: DataFrame) -> DataFrame:
         """node and the outline of its set, for the classes of ``members``."""
-        classes = self.table.join(members.select("node", "rep").distinct(), ["node", "rep"])
+        classes = self.table.join(members.select("node").distinct(), "node")
 
         def make():
             def run(batch: pa.RecordBatch) -> dict:
@@ -198,18 +204,22 @@ def common(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id reachable), kept, and class_id (smallest id with an equal set) of each document."""
+    """The component of each document.
+
+    doc_id, n_shingles, component_id (smallest id reachable), kept, class_id (smallest id with
+    an equal set), root (one number for each component; null without words) and text_key.
+    """
     bounded(docs.sparkSession)
     signed = durable(signatures(docs, width))
     own = [F.first(c).alias(c) for c in ("n_shingles", *COLUMNS)]
     nodes = durable(signed.where("n_shingles > 0").groupBy("node").agg(F.min("own").alias("rep"), *own))
 
     keyed = nodes.select("node", "rep", F.posexplode(index_keys()).alias("number", "key"))
-    ends = keyed.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last"), F.count("*").alias("size"))
+    ends = keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("size"))
     members = durable(keyed.join(ends.where("size > 1"), "key"))
     others = F.when(F.col("size") > 2, F.array("first", "last")).otherwise(F.array("first"))
-    pairs = members.select("node", "rep", F.explode(others).alias("other")).where("rep != other")
-    pairs = durable(pairs.select("node", "other").distinct())
+    pairs = members.select("node", F.explode(others).alias("other")).where("node != other")
+    pairs = durable(pairs.distinct())
     sets = Sets(docs, members.select(F.col("rep").alias("id")), width)
     checked = durable(sets.check(pairs, percent))
     roots = components(checked.where("linked"))
@@ -221,9 +231,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         roots = components(known.union(found))
 
     placed = nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
-    placed = durable(placed)
-    smallest = placed.groupBy("root").agg(F.min("rep").alias("least"))
-    final = placed.join(smallest, "root").select("node", "least", F.col("rep").alias("class_rep"))
+    placed = durable(placed.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS))))
+    # A component may hold a third of all classes, so its smallest id is joined by root and salt.
+    smallest = placed.groupBy("root").agg(F.min("rep").alias("least"), F.count("*").alias("size")).where("size > 1")
+    smallest = smallest.select("root", "least", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    final = placed.join(smallest, ["root", "salt"], "left")
+    final = final.select("node", "root", F.coalesce("least", "rep").alias("least"), F.col("rep").alias("class_rep"))
     joined = signed.join(final, "node", "left")
     least = F.coalesce("least", "own")
     back = lambda c: F.when(c != NULL_ID, c)
@@ -233,12 +246,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         back(least).alias("component_id"),
         (F.col("own") == least).alias("kept"),
         back(F.coalesce("class_rep", "own")).alias("class_id"),
+        "root",
+        "text_key",
     )
 
 
 def unresolved(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members, with their roots, of the keys whose members have more than one."""
-    own = members.select("key", "number", "node", "rep", "first")
+    own = members.select("key", "number", "node", "first")
     placed = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     return placed.join(mixed.select("key"), "key", "left_semi")
@@ -252,14 +267,13 @@ def remaining_pairs(members: DataFrame, nodes: DataFrame, outlines: DataFrame, c
     min(|x - p|, |y - p|) shingles in common; and every bit in which their outlines differ
     stands for a shingle that only one of them has.
     """
-    known = checked.select(F.col("a").alias("node"), F.col("other").alias("first"), "both").distinct()
+    known = checked.select(F.col("a").alias("node"), F.col("b").alias("first"), "both").distinct()
     full = members.join(nodes.select("node", "n_shingles", *COLUMNS), "node").join(outlines, "node")
     full = full.join(known, ["node", "first"], "left")
-    full = full.withColumn("both", F.when(F.col("rep") == F.col("first"), F.col("n_shingles")).otherwise(F.col("both")))
-    # Rows that repeat an id with another text may have met the first id under another class.
+    full = full.withColumn("both", F.when(F.col("node") == F.col("first"), F.col("n_shingles")).otherwise(F.col("both")))
     full = full.withColumn("inside", F.coalesce("both", "n_shingles")).withColumn("outside", F.coalesce(F.col("n_shingles") - F.col("both"), "n_shingles"))
     # None of these is null; saying so keeps the join's condition short enough to be compiled.
-    used = ["number", "node", "rep", "root", "n_shingles", "inside", "outside", *COLUMNS, *OUTLINE]
+    used = ["number", "node", "root", "n_shingles", "inside", "outside", *COLUMNS, *OUTLINE]
     full = full.select("key", *[F.coalesce(c, F.lit(0)).alias(c) for c in used])
     x, y = full.alias("x"), full.alias("y")
     sizes = F.col("x.n_shingles") + F.col("y.n_shingles")
@@ -275,20 +289,30 @@ def remaining_pairs(members: DataFrame, nodes: DataFrame, outlines: DataFrame, c
         & (100 * (sizes - apart) >= percent * (sizes + apart))
         & ~shared_before(F.col("x.number"))
     )
-    pairs = x.join(y, fits).select(F.col("x.node").alias("node"), F.col("y.node").alias("b"), F.col("y.rep").alias("other"))
+    pairs = x.join(y, fits).select(F.col("x.node").alias("node"), F.col("y.node").alias("b"))
     done = checked.select(F.least("a", "b").alias("node"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs.join(done, ["node", "b"], "left_anti").select("node", "other")
+    return pairs.join(done, ["node", "b"], "left_anti").select("node", F.col("b").alias("other"))
 
 
 def drop_copies(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """Documents without the rows that ``judged`` does not keep.
+    """One document of each component of ``judged``, the result of ``near_duplicates``.
 
-    Rows whose id is not in the bitmap of dropped ids pass at once; the others, few unless
-    the bitmap is full, are compared by id and text.
+    The one with the smallest id stays; among texts under that id, the one of the smallest
+    key.  Documents are told apart by id and text, so a text under a repeated id goes only
+    with its own component, and of rows that repeat both (null ids among them) one stays.
+    Rows whose id is not in a bitmap of dropped and repeated ids pass at once.
     """
-    dropped = durable(judged.where(~F.col("kept")).select("doc_id").distinct())
     own = lambda c: F.coalesce(c, F.lit(NULL_ID))
-    bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(dropped.select(own("doc_id").alias("id"))))
+    rows = judged.select(own("doc_id").alias("__own"), F.col("text_key").alias("__key"), "root", "kept")
+    repeated = durable(rows.groupBy("__own").agg(F.count("*").alias("n")).where("n > 1").select("__own"))
+    rivals = rows.where(F.col("kept") & F.col("root").isNotNull()).join(repeated, "__own", "left_semi")
+    # Kept texts of one component have the same id; few ids repeat, and copies fold to one row.
+    rivals = rivals.select("root", "__own", "__key").distinct()
+    winners = rivals.groupBy("root").agg(F.min("__key").alias("first"))
+    losers = rivals.join(winners, "root").where(F.col("__key") != F.col("first")).select("__own", "__key")
+    gone = durable(rows.where(~F.col("kept")).select("__own", "__key").unionByName(losers).distinct())
+    doubtful = gone.select("__own").unionByName(repeated).select(F.col("__own").alias("id"))
+    bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(doubtful))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     marked = docs.withColumn("__bit", id_bit(own("doc_id")))
     names = docs.columns
@@ -300,12 +324,14 @@ def drop_copies(docs: DataFrame, judged: DataFrame) -> DataFrame:
             def run(batch: pa.RecordBatch) -> dict:
                 mask = in_bitmap(bits, batch.column("__bit").to_numpy()) == inside
                 chosen = batch.filter(pa.array(mask))
-                return {c: chosen.column(c) for c in names}
+                found = {c: chosen.column(c) for c in names}
+                if inside:
+                    found["__key"] = pa.array([text_key(t) for t in texts_of(chosen.column("text"))], pa.binary())
+                return found
 
             return run
 
-        return arrow_pass(marked, kinds, make)
+        return arrow_pass(marked, kinds + (", `__key` binary" if inside else ""), make)
 
-    left = part(True).withColumn("__own", own("doc_id"))
-    gone = dropped.select(own("doc_id").alias("__own"))
-    return part(False).unionByName(left.join(gone, "__own", "left_anti").select(*docs.columns))
+    left = part(True).withColumn("__own", own("doc_id")).dropDuplicates(["__own", "__key"])
+    return part(False).unionByName(left.join(gone, ["__own", "__key"], "left_anti").select(*names))

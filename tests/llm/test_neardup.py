@@ -99,10 +99,40 @@ def test_star_components(spark):
     assert got == {x: top(x) for x in parent if top(x) != x}
 
 
-def test_drop_copies(spark):
-    rows = made(1)
-    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
-    out = neardup.drop_copies(docs, neardup.near_duplicates(docs, 2))
+def survivors(rows, k):
+    """(id, text) of what is left: without words each pair once, else one pair of each component."""
+    low = lambda i: -(2**63) if i is None else i
+    sets = [shingle_set(t, k) for _, t in rows]
+    left = {(d, t or "") for (d, t), s in zip(rows, sets) if not s}
+    todo = {i for i, s in enumerate(sets) if s}
+    while todo:
+        group, queue = set(), [todo.pop()]
+        while queue:
+            i = queue.pop()
+            group.add(i)
+            near = {j for j in todo if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+            todo -= near
+            queue += near
+        best = min(group, key=lambda i: (low(rows[i][0]), neardup.text_key(rows[i][1] or "")))
+        left.add((rows[best][0], rows[best][1]))
+    return left
+
+
+def check_dropped(spark, rows, k):
+    docs = spark.createDataFrame([(*r, "en", b"x") for r in rows], "doc_id long, text string, lang string, extra binary")
+    out = neardup.drop_copies(docs.repartition(3), neardup.near_duplicates(docs, k))
     assert out.columns == docs.columns
-    dropped = {d for d, _, _, kept in plain(rows, 2) if not kept}
-    assert sorted(map(repr, [r.doc_id for r in out.collect()])) == sorted(repr(d) for d, _ in rows if d not in dropped)
+    assert sorted((repr(r.doc_id), r.text or "") for r in out.collect()) == sorted((repr(d), t) for d, t in survivors(rows, k))
+
+
+def test_drop_copies(spark):
+    check_dropped(spark, made(1), 2)
+
+
+def test_drop_copies_under_repeated_ids(spark):
+    near = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(1, near), (2, near + " end"), (2, "clean text under a repeated id"), (3, "one and only"), (3, "one and only")]
+    rows += [(None, "null id")] * 3 + [(None, "other null id"), (5, None), (5, ""), (6, near + " more"), (7, "same id " * 9 + near), (7, near * 3)]
+    rows += [(8, "p q r s t u v w x y z 1"), (8, "p q r s t u v w x y z 2")]
+    check_dropped(spark, rows, 2)
+    check_dropped(spark, [], 2)
