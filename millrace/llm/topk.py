@@ -6,8 +6,11 @@ Scores grow dimension block by dimension block; after each, a candidate whose sc
 the largest possible rest (norm of the query's rest times norm of the candidate's rest)
 stays below the k-th score known so far is dropped and the survivors are compacted.
 
-Queries are a stated set of rows, so query blocks are repeated for every candidate block
-(blocks against blocks, in bounded pieces).  Each pair of blocks returns k rows a query.
+Queries are a stated set of rows.  Each query block first meets one seed block; its k-th
+best score there is a floor that every other block starts from.  A block records the
+largest norm of its candidates, and a query block is sent only to the blocks in which the
+norms still allow the floor of one of its queries; there the candidates that cannot reach a
+query's floor are dropped before anything else, and only rows at the floor or above return.
 
 Vectors that are null or hold null or non-finite components take no part.  Vectors only
 meet vectors of the same length; empty ones score 0.  A query never meets a row of its own
@@ -25,12 +28,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.common import bounded
+from millrace.llm.common import bounded, durable
 
 BLOCK_ROWS = 4096  # candidates of one block
 QUERY_ROWS = 256  # queries of one block
 DIM_STEP = 16
-PACKED = "dim int, block long, ids binary, matrix binary"
+SEED_COPIES = 64  # tasks that share the work on the seed block
+PACKED = "dim int, block long, ids binary, matrix binary, reach double"
+ASKED = "dim int, asked long, q_ids binary, q_matrix binary, floors binary, need double"
 LOCAL = "query_id long, vec_id long, score long"
 
 
@@ -47,7 +52,7 @@ def usable(vector: Column) -> Column:
 
 
 def pack(rows: DataFrame, limit: int) -> DataFrame:
-    """Blocks of at most ``limit`` vectors of one length; no shuffle.  block is unique."""
+    """Blocks of at most ``limit`` vectors of one length; no shuffle.  block is unique, reach the largest norm."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -65,8 +70,9 @@ def pack(rows: DataFrame, limit: int) -> DataFrame:
                     pa.array([number], pa.int64()),
                     pa.array([np.array(ids, np.int64).tobytes()], pa.binary()),
                     pa.array([np.ascontiguousarray(narrow(matrix)).tobytes()], pa.binary()),
+                    pa.array([float(norms(matrix).max(initial=0))], pa.float64()),
                 ],
-                names=["dim", "block", "ids", "matrix"],
+                names=["dim", "block", "ids", "matrix", "reach"],
             )
 
         for batch in batches:
@@ -83,6 +89,11 @@ def pack(rows: DataFrame, limit: int) -> DataFrame:
     return rows.mapInArrow(run, PACKED)
 
 
+def norms(matrix: np.ndarray) -> np.ndarray:
+    """Length of each column, rounded up."""
+    return np.sqrt((matrix.astype(np.float64) ** 2).sum(0)) * (1 + 1e-9)
+
+
 def narrow(matrix: np.ndarray) -> np.ndarray:
     """The smallest integer type that holds every value."""
     most = int(np.abs(matrix).max()) if matrix.size else 0
@@ -97,8 +108,8 @@ def unpacked(ids: bytes, matrix: bytes, dim: int) -> tuple[np.ndarray, np.ndarra
     return own, np.frombuffer(matrix, kind).reshape(dim, len(own))
 
 
-def search(query_ids, queries, ids, columns, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query the ids and scores of at least its k best rows of this block."""
+def search(query_ids, queries, ids, columns, k: int, floors=None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query the ids and scores of its k best rows of this block; those below its floor may be missing."""
     dim = len(columns)
     largest = float(np.abs(queries).max(initial=0)) * float(np.abs(columns).max(initial=0)) * max(dim, 1)
     kind = np.float64 if largest < 2**53 else np.int64  # both exact for the sums they get
@@ -116,11 +127,16 @@ def search(query_ids, queries, ids, columns, k: int) -> list[tuple[np.ndarray, n
         for n, (start, end) in enumerate(steps):
             if n:
                 scores = scores + asked[start:end, q] @ rows[start:end, live]
-            if len(live) > k and end < dim and kind is np.float64:
+            if end < dim and kind is np.float64 and (len(live) > k or floors is not None):
                 slack = rest_asked[n][q] * rest_rows[n][live] * (1 + 1e-12) + 1e-6
-                floor = np.partition(scores - slack, len(live) - k)[len(live) - k]
+                floor = -np.inf if floors is None else floors[q]
+                if len(live) > k:
+                    floor = max(floor, np.partition(scores - slack, len(live) - k)[len(live) - k])
                 stay = scores + slack >= floor
                 live, scores = live[stay], scores[stay]
+        if floors is not None:
+            stay = scores >= floors[q]
+            live, scores = live[stay], scores[stay]
         if len(live) > k:  # everything tied with the k-th stays; ids decide below
             stay = scores >= np.partition(scores, len(live) - k)[len(live) - k]
             live, scores = live[stay], scores[stay]
@@ -130,34 +146,60 @@ def search(query_ids, queries, ids, columns, k: int) -> list[tuple[np.ndarray, n
     return found
 
 
+def with_floors(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """Query blocks with the k-th best score of each query in a seed block, and the least norm they need.
+
+    The seed of a length is the block with the largest norm.  Its floor is kept only where
+    floats hold the sums exactly; a query with fewer than k rows in the seed has none.
+    """
+    seed = candidates.groupBy("dim").agg(F.max_by(F.struct("ids", "matrix"), F.struct("reach", "block")).alias("seed"))
+    seed = seed.select("dim", "seed.*", F.explode(F.sequence(F.lit(0), F.lit(SEED_COPIES - 1))).alias("copy"))
+    dealt = queries.select(
+        "dim", F.col("block").alias("asked"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"),
+        F.pmod(F.xxhash64("block"), F.lit(SEED_COPIES)).cast("int").alias("copy"),
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            floors, need = [], []
+            for dim, q_ids, q_matrix, ids, matrix in zip(*(batch.column(c) for c in ("dim", "q_ids", "q_matrix", "ids", "matrix"))):
+                own, columns = unpacked(ids.as_py(), matrix.as_py(), dim.as_py())
+                asked_ids, asked = unpacked(q_ids.as_py(), q_matrix.as_py(), dim.as_py())
+                found = search(asked_ids, asked, own, columns, k)
+                least = [int(f[1].min()) if len(f[1]) >= k else None for f in found]
+                own_floors = np.array([-np.inf if x is None or abs(x) >= 2**52 else x for x in least], np.float64)
+                # score <= norm of the query * norm of the candidate
+                floors.append(own_floors.tobytes())
+                need.append(float(np.where(own_floors > 0, own_floors / np.maximum(norms(asked), 1e-9), 0).min(initial=np.inf)))
+            found = {c: batch.column(c) for c in ("dim", "asked", "q_ids", "q_matrix")}
+            yield pa.RecordBatch.from_pydict(found | {"floors": pa.array(floors, pa.binary()), "need": pa.array(need, pa.float64())})
+
+    return dealt.join(seed, ["dim", "copy"]).mapInArrow(run, ASKED)
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows of ``vectors`` for each query row."""
     spark = bounded(vectors.sparkSession)
     good = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
     numbers = good.select("vec_id", whole_numbers(F.col("embedding"), scale).alias("v"), is_query.alias("q"))
-    candidates = pack(numbers.select("vec_id", "v"), BLOCK_ROWS)
+    candidates = durable(pack(numbers.select("vec_id", "v"), BLOCK_ROWS))
     queries = pack(numbers.where("q").select("vec_id", "v").distinct(), QUERY_ROWS)
-    # Every query block goes to every block of candidates of its length: the list of block
-    # numbers is split so that no row holds more than a bounded part of it.
-    places = candidates.select("dim", "block").groupBy("dim", (F.col("block") % 64).alias("part")).agg(
-        F.collect_set("block").alias("blocks")
-    )
-    sent = (
-        queries.withColumnRenamed("block", "asked")
-        .join(places, "dim")
-        .select(
-            "dim", F.explode("blocks").alias("block"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix")
-        )
+    asked = durable(with_floors(queries, candidates, k))
+    # The list of block numbers is split so that no row holds more than a bounded part of it.
+    places = candidates.groupBy("dim", (F.col("block") % 64).alias("part")).agg(
+        F.collect_list(F.struct("block", "reach")).alias("blocks")
     )
-    pairs = candidates.join(sent, ["dim", "block"]).select("dim", "ids", "matrix", "q_ids", "q_matrix")
+    sent = asked.join(places, "dim").withColumn("place", F.explode("blocks")).where("place.reach >= need")
+    sent = sent.select("dim", F.col("place.block").alias("block"), "q_ids", "q_matrix", "floors")
+    pairs = candidates.join(sent, ["dim", "block"]).select("dim", "ids", "matrix", "q_ids", "q_matrix", "floors")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for dim, ids, matrix, q_ids, q_matrix in zip(*(batch.column(i) for i in range(5))):
+            for dim, ids, matrix, q_ids, q_matrix, floors in zip(*(batch.column(i) for i in range(6))):
                 dim = dim.as_py()
                 own, columns = unpacked(ids.as_py(), matrix.as_py(), dim)
                 asked_ids, asked = unpacked(q_ids.as_py(), q_matrix.as_py(), dim)
-                found = search(asked_ids, asked, own, columns, k)
+                found = search(asked_ids, asked, own, columns, k, np.frombuffer(floors.as_py()))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.repeat(asked_ids, [len(f[0]) for f in found])),

@@ -43,6 +43,18 @@ def test_odd_rows(spark):
     check(spark, rows, 3)
 
 
+def test_many_blocks(spark, monkeypatch):
+    """Seed floors, blocks that the norms rule out, ties at the floor."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 7)
+    rng = np.random.default_rng(11)
+    rows = [(i, (rng.normal(size=33) * (4 if i < 90 else 0.05)).tolist()) for i in range(400)]
+    rows += [(400 + i, rows[i % 5][1]) for i in range(120)] + [(600 + i, [0.0] * 33) for i in range(50)]
+    rows += [(700 + i, [1e6 * (1 + i % 3)] * 33) for i in range(30)]
+    check(spark, rows, 20)
+    check(spark, rows[300:400] + rows[500:560], 3)
+
+
 def test_empty(spark):
     check(spark, [(1, [1.0])], 5)
     check(spark, [], 5)
