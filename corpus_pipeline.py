@@ -45,7 +45,10 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 @any_columns
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
+    """One document of each group of near-duplicates: the one with the smallest id.
+
+    Rows that repeat an id and its text are a group too, null ids and empty texts among them.
+    """
     configure(spark)
     return neardup.drop_copies(docs, neardup.near_duplicates(docs))
 
