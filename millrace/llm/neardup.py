@@ -299,8 +299,9 @@ def drop_copies(docs: DataFrame, judged: DataFrame) -> DataFrame:
 
     The one with the smallest id stays; among texts under that id, the one of the smallest
     key.  Documents are told apart by id and text, so a text under a repeated id goes only
-    with its own component, and of rows that repeat both (null ids among them) one stays.
-    Rows whose id is not in a bitmap of dropped and repeated ids pass at once.
+    with its own component, and rows that repeat both are one document and stay together.
+    A null id names no document: of equal texts under it one stays.  Rows whose id is not in
+    a bitmap of dropped ids pass at once.
     """
     own = lambda c: F.coalesce(c, F.lit(NULL_ID))
     rows = judged.select(own("doc_id").alias("__own"), F.col("text_key").alias("__key"), "root", "kept")
@@ -311,27 +312,30 @@ def drop_copies(docs: DataFrame, judged: DataFrame) -> DataFrame:
     winners = rivals.groupBy("root").agg(F.min("__key").alias("first"))
     losers = rivals.join(winners, "root").where(F.col("__key") != F.col("first")).select("__own", "__key")
     gone = durable(rows.where(~F.col("kept")).select("__own", "__key").unionByName(losers).distinct())
-    doubtful = gone.select("__own").unionByName(repeated).select(F.col("__own").alias("id"))
-    bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(doubtful))
+    bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(gone.select(F.col("__own").alias("id"))))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     marked = docs.withColumn("__bit", id_bit(own("doc_id")))
     names = docs.columns
 
-    def part(inside: bool) -> DataFrame:
+    def part(rows: DataFrame, inside: bool | None) -> DataFrame:
+        """Rows in the bitmap or not, or all of them; the keys of the texts unless they pass."""
+
         def make():
             bits = bitmap.value
 
             def run(batch: pa.RecordBatch) -> dict:
-                mask = in_bitmap(bits, batch.column("__bit").to_numpy()) == inside
-                chosen = batch.filter(pa.array(mask))
+                mask = in_bitmap(bits, batch.column("__bit").to_numpy())
+                chosen = batch if inside is None else batch.filter(pa.array(mask == inside))
                 found = {c: chosen.column(c) for c in names}
-                if inside:
+                if inside is not False:
                     found["__key"] = pa.array([text_key(t) for t in texts_of(chosen.column("text"))], pa.binary())
                 return found
 
             return run
 
-        return arrow_pass(marked, kinds + (", `__key` binary" if inside else ""), make)
+        return arrow_pass(rows, kinds + ("" if inside is False else ", `__key` binary"), make)
 
-    left = part(True).withColumn("__own", own("doc_id")).dropDuplicates(["__own", "__key"])
-    return part(False).unionByName(left.join(gone, ["__own", "__key"], "left_anti").select(*names))
+    named, nameless = marked.where("doc_id IS NOT NULL"), marked.where("doc_id IS NULL")
+    left = part(named, True).unionByName(part(nameless, None).dropDuplicates(["__key"]))
+    left = left.withColumn("__own", own("doc_id")).join(gone, ["__own", "__key"], "left_anti")
+    return part(named, False).unionByName(left.select(*names))
