@@ -47,7 +47,8 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id.
 
-    Rows that repeat an id and its text are a group too, null ids and empty texts among them.
+    Rows that repeat an id and its text are one document and stay together; a null id names
+    none, so of equal texts under it one stays.
     """
     configure(spark)
     return neardup.drop_copies(docs, neardup.near_duplicates(docs))
