@@ -15,11 +15,14 @@ from millrace.functions.text import is_blank, strip
 SEP = "\ufdd0"
 SEP_PATTERN = r"\x{FDD0}"
 
+# Heading forms, by shape alone: a line's length never matters.
 HEADING_MARK = r"\A {0,3}#{1,6}[ \t]"
 LABEL_END = r":[ \t]*\z"
-LABEL_LENGTH = 60
-TITLE_END = r"[\p{L}\p{N}][ \t]*\z"
-TITLE_LENGTH = 40
+SENTENCE_INSIDE = r"[.!?][ \t]"
+BARE_END = r"[\p{L}\p{N}][ \t]*\z"
+TITLE = r"\A[ \t]*[\p{Lu}\p{Lo}](?:[^\p{N}.,;:!?]*\p{L})?[ \t]*\z"
+SECTION_NAMES = "ingredients directions method preparation instructions history variations notes tips"
+SECTION = rf"(?i)\A[ \t]*(?:{'|'.join(SECTION_NAMES.split())})[ \t]*\z"
 
 SENTENCE = r"[^.!?\n]+[.!?]*"
 
@@ -57,12 +60,18 @@ def categorize(text: Column) -> Column:
     return F.array_max(F.array(*ranked))["category"]
 
 
-def is_heading(line: Column) -> Column:
-    size = F.char_length(line)
+def is_heading(line: Column, before: Column) -> Column:
+    """Whether a line introduces the next one; ``before`` is the line above it or null.
+
+    Marks, labels and section names always do.  A line without an end mark does so only below
+    a finished sentence or at the start: below another such line it is an entry of a list.
+    """
+    opens_run = before.isNull() | ~(before.rlike(BARE_END) | before.rlike(LABEL_END))
     return (
         line.rlike(HEADING_MARK)
-        | ((size <= LABEL_LENGTH) & line.rlike(LABEL_END))
-        | ((size <= TITLE_LENGTH) & line.rlike(TITLE_END))
+        | (line.rlike(LABEL_END) & ~line.rlike(SENTENCE_INSIDE))
+        | line.rlike(SECTION)
+        | (line.rlike(TITLE) & opens_run)
     )
 
 
@@ -74,7 +83,11 @@ def split_spans(text: Column) -> Column:
 def split_blocks(spans: Column) -> Column:
     """Glue headings to the line they introduce; trailing ones join the block before."""
     glued = F.array_join(
-        F.transform(spans, lambda s: F.concat(s, F.when(is_heading(s), F.lit("\n")).otherwise(F.lit(SEP)))), ""
+        F.transform(
+            spans,
+            lambda s, i: F.concat(s, F.when(is_heading(s, F.get(spans, i - 1)), F.lit("\n")).otherwise(F.lit(SEP))),
+        ),
+        "",
     )
     closed = F.regexp_replace(glued, rf"{SEP_PATTERN}([^{SEP_PATTERN}]*)\n\z", "\n$1")
     parts = F.split(F.regexp_replace(closed, rf"[\n{SEP_PATTERN}]\z", ""), SEP, -1)

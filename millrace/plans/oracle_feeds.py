@@ -81,11 +81,12 @@ def readable(expr: str) -> str:
     return emoji(html(markdown(f"coalesce({expr}, '')")))
 
 
-def heading(expr: str) -> str:
+def heading(expr: str, before: str) -> str:
+    found = lambda text, pattern: f"regexp_matches({text}, {lit(pattern)})"
     return (
-        f"(regexp_matches({expr}, {lit(C.HEADING_MARK)})"
-        f" OR (length({expr}) <= {C.LABEL_LENGTH} AND regexp_matches({expr}, {lit(C.LABEL_END)}))"
-        f" OR (length({expr}) <= {C.TITLE_LENGTH} AND regexp_matches({expr}, {lit(C.TITLE_END)})))"
+        f"({found(expr, C.HEADING_MARK)} OR {found(expr, C.SECTION)}"
+        f" OR ({found(expr, C.LABEL_END)} AND NOT {found(expr, C.SENTENCE_INSIDE)})"
+        f" OR ({found(expr, C.TITLE)} AND coalesce(NOT {found(before, C.BARE_END)} AND NOT {found(before, C.LABEL_END)}, true)))"
     )
 
 
@@ -161,7 +162,8 @@ CTES = {
                                        ELSE plain_before END AS block
         FROM (SELECT *, sum(plain) OVER (PARTITION BY doc_id) AS plain_all,
                      coalesce(sum(plain) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS plain_before
-              FROM (SELECT *, CASE WHEN {heading("span")} THEN 0 ELSE 1 END AS plain FROM f_lines))""",
+              FROM (SELECT doc_id, pos, span, CASE WHEN {heading("span", "above")} THEN 0 ELSE 1 END AS plain
+                    FROM (SELECT *, lag(span) OVER (PARTITION BY doc_id ORDER BY pos) AS above FROM f_lines)))""",
     "f_blocks": f"""
         SELECT doc_id, block, block_text, n_lines, {category("block_text")} AS category
         FROM (SELECT doc_id, block, string_agg(span, chr(10) ORDER BY pos) AS block_text, count(*) AS n_lines

@@ -134,6 +134,22 @@ def test_headings_stay_with_their_text(spark):
     assert rows[2] == ["Only a title"] and rows[3] == []
 
 
+def test_lists_do_not_swallow_what_follows(spark):
+    recipe = "Ingredients\n2 oz gin\nLime juice\nSugar syrup\nDirections\nShake with ice.\nStrain well.\nServing hints\nTry it cold."
+    bare = "Gin\nLime juice\nSugar syrup\nShake with ice."
+    long_title = "A " + "very " * 40 + "long title\nIt was made in Paris."
+    prose = "Mix it. Then add this:\nSoda water.\nnotes\nKeep cold."
+    frame = spark.createDataFrame([(1, recipe), (2, bare), (3, long_title), (4, prose)], "id int, text string")
+    rows = {r["id"]: [b["text"] for b in r["blocks"]] for r in chunk.with_blocks(frame).collect()}
+    assert rows[1] == [
+        "Ingredients\n2 oz gin", "Lime juice", "Sugar syrup", "Directions\nShake with ice.", "Strain well.",
+        "Serving hints\nTry it cold.",
+    ]
+    assert rows[2] == ["Gin\nLime juice", "Sugar syrup", "Shake with ice."]
+    assert rows[3] == [long_title]
+    assert rows[4] == ["Mix it. Then add this:", "Soda water.", "notes\nKeep cold."]
+
+
 def test_last_answer_and_attempts(spark):
     answers = ['[{"category":"other","content":"x"}]', '{"a":1}', '[{"category":"other"}]', '["x"]', "[", "[", "", "[]"]
     seconds = [None, None, None, None, '[{"category":"other","content":"y"}]', "[", None, None]
