@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.plan import once
 from millrace.functions.text import is_blank, json_unescape
-from millrace.schemas import ENUMS, EXTRACTION_DDL, OPTIONAL_FIELDS, RECORD_STRUCT, REQUIRED_FIELDS, UNKNOWN_ID
+from millrace.schemas import ENUMS, OPTIONAL_FIELDS, RECORD_KEY, REQUIRED_FIELDS, UNKNOWN_ID, result_ddl
 
 INSTANT = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9:.]+(?:[Zz]|[+-][0-9]{2}:?[0-9]{2})\z"
 
@@ -198,22 +198,23 @@ def source_attributes(messages: DataFrame) -> DataFrame:
     )
 
 
-def decode_extractions(messages: DataFrame, *keep: str) -> DataFrame:
-    """Extraction results from their JSON values: ``record``, ``extraction_text`` as published, and
+def decode_extractions(messages: DataFrame, *keep: str, record_key: str = RECORD_KEY) -> DataFrame:
+    """Extraction results from their JSON values: ``record`` (published as ``record_key``), ``extraction_text`` as published, and
     ``text``, the same with its escapes resolved, which is what gets chunked."""
-    parsed = F.from_json(F.try_validate_utf8(F.col("value").cast("string")), EXTRACTION_DDL)
-    opened = once(messages, result=parsed).select(*keep, "result.record", "result.extraction_text")
+    parsed = F.from_json(F.try_validate_utf8(F.col("value").cast("string")), result_ddl(record_key, "extraction_text:string"))
+    record = F.col("result")[record_key].alias("record")
+    opened = once(messages, result=parsed).select(*keep, record, "result.extraction_text")
     return opened.withColumn("text", json_unescape(F.col("extraction_text")))
 
 
-def decode_chunk_results(messages: DataFrame, *keep: str) -> DataFrame:
+def decode_chunk_results(messages: DataFrame, *keep: str, record_key: str = RECORD_KEY) -> DataFrame:
     """Chunk results from their JSON values; ``exact_keys`` is false where a chunk has
     other keys than the two it must have, and where there is no list of chunks."""
     text = F.try_validate_utf8(F.col("value").cast("string"))
-    schema = f"struct<record:{RECORD_STRUCT},chunks:array<map<string,string>>>"
+    schema = result_ddl(record_key, "chunks:array<map<string,string>>")
     parsed = once(messages, result=F.from_json(text, schema)).select(*keep, "result")
     return (
-        parsed.select(*keep, "result.record", F.col("result.chunks").alias("raw_chunks"))
+        parsed.select(*keep, F.col("result")[record_key].alias("record"), F.col("result.chunks").alias("raw_chunks"))
         .withColumn("exact_keys", F.coalesce(exact_keys(F.col("raw_chunks")), F.lit(False)))
         .withColumn("chunks", F.when(F.col("exact_keys"), as_chunks(F.col("raw_chunks"))))
         .drop("raw_chunks")

@@ -106,7 +106,14 @@ OPTIONAL_FIELDS = {"nutrition": (NUTRITION, "object"), "dietary": (DIETARY, "obj
 
 RECORD_DDL = ",".join(f"{name}:{spec[0]}" for name, spec in {**REQUIRED_FIELDS, **OPTIONAL_FIELDS}.items())
 RECORD_STRUCT = f"struct<{RECORD_DDL}>"
-EXTRACTION_DDL = f"struct<record:{RECORD_STRUCT},extraction_text:string>"
+RECORD_KEY = "record"  # the key of a published result's record, unless a stage is given another
+
+
+def result_ddl(record_key: str, *fields: str) -> str:
+    """Schema of a published result: the record under its key, and further fields."""
+    name = record_key.replace("`", "``")
+    return f"struct<{','.join([f'`{name}`:{RECORD_STRUCT}', *fields])}>"
+
 
 MESSAGE_SCHEMA = T.StructType(
     [

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.schemas import RECORD_KEY
+
 # Nulls stay in the JSON; timestamps are ISO-8601 in UTC.
 JSON_OPTIONS = {
     "ignoreNullFields": "false",
@@ -26,12 +28,12 @@ def result_messages(results: DataFrame, key: str, value: Column, headers: str |
     )
 
 
-def extraction_value(record: Column, text: str = "extraction_text") -> Column:
-    return F.struct(record.alias("record"), F.col(text).alias("extraction_text"))
+def extraction_value(record: Column, text: str = "extraction_text", record_key: str = RECORD_KEY) -> Column:
+    return F.struct(record.alias(record_key), F.col(text).alias("extraction_text"))
 
 
-def chunk_value(record: Column, chunks: str = "chunks") -> Column:
-    return F.struct(record.alias("record"), F.col(chunks).alias("chunks"))
+def chunk_value(record: Column, chunks: str = "chunks", record_key: str = RECORD_KEY) -> Column:
+    return F.struct(record.alias(record_key), F.col(chunks).alias("chunks"))
 
 
 def write_to_topic(messages: DataFrame, bootstrap: str, topic: str, delivery_timeout_ms: int = 30_000) -> None:

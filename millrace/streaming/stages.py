@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.functions.plan import once
 from millrace.functions.text import clean_document, is_blank
 from millrace.operators import chunk, decode, dedup, shape
+from millrace.schemas import RECORD_KEY
 from millrace.sources import message_log, sinks
 
 LEDGER_DDL = "id string, version timestamp"
@@ -117,24 +119,24 @@ def _events(messages: DataFrame) -> DataFrame:
     return records.select(F.col("record.id").alias("id"), F.col("record.modifiedOn").alias("version"), "record", "headers")
 
 
-def _extract(due: DataFrame) -> DataFrame:
+def _extract(due: DataFrame, record_key: str) -> DataFrame:
     cleaned = once(due, text=clean_document(F.col("record.content")))
-    value = sinks.extraction_value(F.col("record"), "text")
+    value = sinks.extraction_value(F.col("record"), "text", record_key)
     return _messages(cleaned, value, ~is_blank(F.col("text")))
 
 
-def _extracted(messages: DataFrame) -> DataFrame:
-    read = decode.decode_extractions(messages, "headers").filter(F.col("record.id").isNotNull())
+def _extracted(messages: DataFrame, record_key: str) -> DataFrame:
+    read = decode.decode_extractions(messages, "headers", record_key=record_key).filter(F.col("record.id").isNotNull())
     return read.select(F.col("record.id").alias("id"), F.col("record.modifiedOn").alias("version"), "record", "text", "headers")
 
 
-def _chunk(due: DataFrame) -> DataFrame:
+def _chunk(due: DataFrame, record_key: str) -> DataFrame:
     cut = chunk.with_chunks(due, "text")
-    return _messages(cut, sinks.chunk_value(F.col("record")), F.size("chunks") > 0)
+    return _messages(cut, sinks.chunk_value(F.col("record"), record_key=record_key), F.size("chunks") > 0)
 
 
-def _chunked(messages: DataFrame) -> DataFrame:
-    read = decode.decode_chunk_results(messages, "headers").filter("exact_keys")
+def _chunked(messages: DataFrame, record_key: str) -> DataFrame:
+    read = decode.decode_chunk_results(messages, "headers", record_key=record_key).filter("exact_keys")
     return read.select(F.col("record.id").alias("id"), F.col("record.modifiedOn").alias("version"), "record", "chunks", "headers")
 
 
@@ -156,16 +158,21 @@ def _messages(rows: DataFrame, value, succeeded) -> DataFrame:
     )
 
 
-EXTRACTION = Stage("extraction", _events, _extract)
-CHUNKING = Stage("chunking", _extracted, _chunk)
-EMBEDDING = Stage("embedding", _chunked, _embed)
+def chain_stages(record_key: str = RECORD_KEY) -> tuple[Stage, Stage, Stage]:
+    """Extraction, chunking and embedding; published results hold their record under ``record_key``."""
+    key = {"record_key": record_key}
+    return (
+        Stage("extraction", _events, partial(_extract, **key)),
+        Stage("chunking", partial(_extracted, **key), partial(_chunk, **key)),
+        Stage("embedding", partial(_chunked, **key), _embed),
+    )
 
 
-def run_chain(spark: SparkSession, events: str, folder: str) -> dict[str, str]:
+def run_chain(spark: SparkSession, events: str, folder: str, record_key: str = RECORD_KEY) -> dict[str, str]:
     """All three stages from an event log to a log of index requests; the paths of the logs made."""
     logs = {"extraction": f"{folder}/extractions", "chunking": f"{folder}/chunks", "embedding": f"{folder}/requests"}
     source = events
-    for stage in (EXTRACTION, CHUNKING, EMBEDDING):
+    for stage in chain_stages(record_key):
         stream = message_log.read_log_stream(spark, source, group=stage.name)
         run_stage(stage, stream, f"{folder}/{stage.name}", logs[stage.name]).awaitTermination()
         source = logs[stage.name]

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import decode
 from millrace.sources import message_log, sinks
 from millrace.streaming import stages
 
@@ -176,3 +177,18 @@ def test_chain_connects_three_stages(spark, tmp_path):
     message_log.publish(given, f"{tmp_path}/events")  # the same versions again
     logs = stages.run_chain(spark, f"{tmp_path}/events", str(tmp_path))
     assert {n: message_log.read_log(spark, p).count() for n, p in logs.items()} == first
+
+
+def test_chain_publishes_records_under_a_given_key(spark, tmp_path):
+    from millrace.plans import feeds
+
+    message_log.publish(feeds.messages(spark, "/root/testdata/sf0.001").drop("event_id").limit(400), f"{tmp_path}/events")
+    logs = stages.run_chain(spark, f"{tmp_path}/events", str(tmp_path), record_key="the item's `model`")
+    read = lambda name: message_log.read_log(spark, logs[name])
+    assert all(b'"the item\'s `model`":{' in bytes(r.value) for r in read("extraction").collect())
+    key = {"record_key": "the item's `model`"}
+    ids = lambda frame: sorted(r.id for r in frame.select("record.id").collect())
+    found = ids(decode.decode_extractions(read("extraction"), **key))
+    assert found and None not in found and found == ids(decode.decode_chunk_results(read("chunking"), **key))
+    assert read("embedding").count() == len(found)
+    assert {r.id for r in decode.decode_extractions(read("extraction")).select("record.id").collect()} == {None}
