@@ -116,7 +116,15 @@ def _edge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def in_periods(moments: DataFrame, periods: DataFrame, time: str, start: str, end: str, grain: float = 60.0) -> DataFrame:
+def in_periods(
+    moments: DataFrame,
+    periods: DataFrame,
+    time: str,
+    start: str,
+    end: str,
+    grain: float = 60.0,
+    totals: tuple[str, str] | None = None,
+) -> DataFrame:
     """Every (moment, period) with start <= time < end, columns of both.
 
     Periods are cut into bins of 1, 2, 4, ... grains (seconds): the fewest that cover one,
@@ -124,7 +132,13 @@ def in_periods(moments: DataFrame, periods: DataFrame, time: str, start: str, en
     and periods meet by an equi-join on (level, bin), each pair once; the outermost bins
     are wider than the period, so its ends are compared as well.  Nulls meet nothing, and
     periods that end before they start hold nothing.
+
+    With ``totals``, a key of the moments and a number of the periods, the result is per
+    key what the pairs amount to: the key, ``n``, ``least`` and ``total`` of the number.
+    The pairs, which grow with the product of both sides, are not made (see ``_period_totals``).
     """
+    if totals is not None:
+        return _period_totals(moments, periods, time, start, end, *totals)
     unit = int(grain * 1_000_000)
     tick = lambda c: F.floor(F.unix_micros(F.col(c)) / unit).cast("long")
     real = periods.filter(F.col(start) < F.col(end))
@@ -136,10 +150,49 @@ def in_periods(moments: DataFrame, periods: DataFrame, time: str, start: str, en
     spread = moments.filter(F.col(time).isNotNull()).join(F.broadcast(levels))
     spread = spread.withColumn("level", F.explode("_levels")).drop("_levels")
     spread = spread.withColumn("number", F.shiftright(tick(time), 0)).withColumn("number", F.expr("shiftright(number, level)"))
-    joined = spread.join(binned, ["level", "number"])
+    # The size of a table is guessed from before its rows are spread, so no side may be sent whole.
+    joined = spread.join(binned.hint("merge"), ["level", "number"])
     return joined.filter((F.col(time) >= F.col(start)) & (F.col(time) < F.col(end))).drop("level", "number")
 
 
+def _period_totals(moments: DataFrame, periods: DataFrame, time: str, start: str, end: str, key: str, number: str) -> DataFrame:
+    """n, least and total of the periods that hold the moments of a key.
+
+    Bins are of 1, 4, 16, ... microseconds, so a period is exactly its bins, at most three
+    at either end of a size, and no end is left to compare.  Periods are summed up by bin
+    first; a moment then meets one row for each size, however many periods there are.
+    """
+    # floor and ceiling of x / 4 ** level
+    down = lambda x: F.expr(f"shiftright({x}, 2 * _level)")
+    up = lambda x: -F.expr(f"shiftright(-{x}, 2 * _level)")
+    real = periods.filter(F.col(start) < F.col(end))
+    real = real.select(F.unix_micros(F.col(start)).alias("_low"), F.unix_micros(F.col(end)).alias("_high"), F.col(number).alias("_number"))
+    # no bin is larger than the period
+    size = F.floor(F.log2((F.col("_high") - F.col("_low")).cast("double")) / 2).cast("int") + 1
+    levels = real.withColumn("_level", F.explode(F.sequence(F.lit(0), size)))
+    ends = levels.select("_level", "_number", up("_low").alias("_first"), down("_high").alias("_last")).filter("_first < _last")
+    # what the next size leaves: up to its first bin, and from the end of its last one
+    first, last = F.col("_first"), F.col("_last")
+    left, right = -4 * F.shiftright(-first, 2), 4 * F.shiftright(last, 2)
+    bins = F.array_compact(
+        F.array(
+            *[F.when(first + n < F.least(left, last), first + n) for n in range(3)],
+            *[F.when((left <= right) & (right + n < last), right + n) for n in range(3)],
+        )
+    )
+    sums = lambda n: [F.sum(n).alias("n"), F.min("least").alias("least"), F.sum("total").alias("total")]
+    binned = ends.select("_level", F.explode(bins).alias("_bin"), F.lit(1).cast("long").alias("n"), F.col("_number").alias("least"))
+    binned = binned.withColumn("total", F.col("least")).groupBy("_level", "_bin").agg(*sums("n"))
+    # As many rows as there are sizes.
+    occurring = binned.groupBy().agg(F.collect_set("_level").alias("_levels"))
+    known = moments.filter(F.col(time).isNotNull()).select(F.col(key).alias("_key"), F.unix_micros(F.col(time)).alias("_time"))
+    spread = known.join(F.broadcast(occurring)).withColumn("_level", F.explode("_levels"))
+    spread = spread.select("_key", "_level", down("_time").alias("_bin"))
+    # The size of a table is guessed from before its rows are spread, so no side may be sent whole.
+    met = spread.join(binned.hint("merge"), ["_level", "_bin"])
+    return met.groupBy(F.col("_key").alias(key)).agg(*sums("n"))
+
+
 def _cover(first: Column, last: Column) -> Column:
     """The fewest aligned bins that make up [first, last): at each size an odd left end and an odd right end."""
     bin_of = lambda level, number: F.struct(level.cast("int").alias("level"), number.alias("number"))

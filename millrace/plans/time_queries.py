@@ -51,10 +51,8 @@ def displayed_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
         feeds.minutes_after_base(begin + F.col("p_size") * F.col("p_size")).alias("shown_until"),
     )
     events = feeds.events(spark, sf_dir).select("event_id", "ts")
-    shown = temporal.in_periods(events, periods, "ts", "shown_from", "shown_until")
-    return shown.groupBy("event_id").agg(
-        F.count(F.lit(1)).alias("n_shown"), F.min("p_partkey").alias("first_shown"), F.sum("p_partkey").alias("key_sum")
-    )
+    shown = temporal.in_periods(events, periods, "ts", "shown_from", "shown_until", totals=("event_id", "p_partkey"))
+    return shown.select("event_id", F.col("n").alias("n_shown"), F.col("least").alias("first_shown"), F.col("total").alias("key_sum"))
 
 
 # Events come in six deliveries of five days; one in fifty comes three deliveries late.

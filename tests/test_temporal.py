@@ -73,3 +73,32 @@ def test_periods_equal_loop(spark):
     expected = sorted((m, p) for m, t in moments for p, s, e in periods if None not in (t, s, e) and s <= t < e)
     assert sorted((r.m, r.p) for r in joined.collect()) == expected
     assert temporal.in_periods(left, right.limit(0), "t", "s", "e").count() == 0
+
+
+def test_period_totals_equal_loop(spark):
+    rng = random.Random(5)
+    tiny = lambda: dt.timedelta(microseconds=rng.choice([0, 0, 1, 7, 999_999]))
+    periods = [(n, at(a := rng.randrange(-500, 5000)) + tiny(), at(a + rng.choice([0, 1, 59, 60, 61, 600, 4000, -5])) + tiny()) for n in range(150)]
+    periods += [(900, None, at(5)), (901, at(0), None), (902, at(-10**7), at(10**8)), (None, at(0), at(3000)), (903, at(7), at(7) + dt.timedelta(microseconds=1))]
+    moments = [(n % 200, at(rng.randrange(-600, 9000)) + tiny()) for n in range(300)]  # some keys twice
+    moments += [(1000, None)] + [(2000 + n, e) for n, (_, s, e) in enumerate(periods)] + [(3000 + n, s) for n, (_, s, e) in enumerate(periods)]
+    left = spark.createDataFrame(moments, "m long, t timestamp")
+    right = spark.createDataFrame(periods, "p long, s timestamp, e timestamp")
+    pairs = [(m, p) for m, t in moments for p, s, e in periods if None not in (t, s, e) and s <= t < e]
+    expected = {}
+    for m in {m for m, _ in pairs}:
+        own = [p for n, p in pairs if n == m]
+        numbers = [p for p in own if p is not None]
+        expected[m] = (len(own), min(numbers, default=None), sum(numbers) if numbers else None)
+    got = temporal.in_periods(left, right, "t", "s", "e", totals=("m", "p"))
+    assert {r.m: (r.n, r.least, r.total) for r in got.collect()} == expected
+    assert temporal.in_periods(left, right.limit(0), "t", "s", "e", totals=("m", "p")).count() == 0
+
+
+def test_no_spread_side_is_sent_whole(spark):
+    moments = spark.range(50).select("id", F.timestamp_seconds("id").alias("t"))
+    periods = spark.range(50).select(F.col("id").alias("p"), F.timestamp_seconds("id").alias("s"), F.timestamp_seconds(F.col("id") + 500).alias("e"))
+    for totals in (None, ("id", "p")):
+        found = temporal.in_periods(moments, periods, "t", "s", "e", totals=totals)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
