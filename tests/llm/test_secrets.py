@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import secrets
@@ -124,3 +125,91 @@ def test_threshold_follows_the_recall(net):
     poor = secrets.CharNet()
     poor.calibrate(codes, y, 0.98)  # nothing to learn: only a low threshold reaches the recall
     assert poor.threshold < 0.5 and poor.recall >= 0.98
+
+
+def plain_findings(text):
+    """Findings that carry a label, as windows: base ones, and long words that none of them touches."""
+    base = plain(text)
+    words = [m.span() for m in re.finditer(r"[^\s]{10,}", text or "")]
+    free = [w for w in words if not any(s < w[1] and w[0] < e for _, s, e in base)]
+    return sum(len(secrets.windows(text, s, e)) for s, e in [x[1:] for x in base] + free)
+
+
+def many(last="zebra"):
+    rows = []
+    for i in range(60):
+        words = [f"ordinary{j}word{i}" for j in range(5)] + [f"password={i:08}{j}" for j in range(5)]
+        rows.append((i, " and ".join([*words, f"{last}{i:04}{last}", "", "x" * 300])))
+    return [*rows, (None, "unnamedordinary word"), (3, None), (4, ""), (5, rows[5][1]), (5, rows[5][1])]
+
+
+def test_every_finding_trains_or_is_held_out(spark):
+    rows = many()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    net = secrets.train(docs)
+    assert net.trained + net.held_out == sum(plain_findings(t) for _, t in rows)
+    assert net.trained > 0 and net.held_out > 0
+    # Tables that differ beyond the third finding of each document alone give different networks.
+    other = secrets.train(spark.createDataFrame(many("QUAGGA"), docs.schema))
+    assert any((net.w[k] != other.w[k]).any() for k in net.w)
+
+
+def test_network_does_not_depend_on_the_order_of_rows(spark):
+    docs = spark.createDataFrame(many(), "doc_id long, text string")
+    one, two = secrets.train(docs.repartition(5)), secrets.train(docs.orderBy("text").coalesce(1))
+    assert all((one.w[k] == two.w[k]).all() for k in one.w)
+    assert (one.threshold, one.scale, one.shift) == (two.threshold, two.scale, two.shift)
+
+
+def test_blocks_hold_all_windows(monkeypatch):
+    texts = [t for _, t in many()]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[i : i + 20]}) for i in range(0, len(texts), 20)]
+    whole = list(secrets.blocks_of(iter(batches)))
+    monkeypatch.setattr(secrets, "BLOCK", 7)
+    cut = list(secrets.blocks_of(iter(batches)))
+    assert max(len(y) for _, y in cut) == 7
+    for i in (0, 1):
+        assert (np.concatenate([b[i] for b in cut]) == np.concatenate([b[i] for b in whole])).all()
+    assert sum(len(y) for _, y in whole) == sum(map(plain_findings, texts))
+
+
+def test_a_round_reads_each_finding(monkeypatch):
+    rng = np.random.default_rng(2)
+    for positives, negatives in ((0, 300), (300, 0), (3, 500), (250, 250), (1, 1)):
+        codes = np.full((positives + negatives, secrets.LENGTH), 1, np.int16)
+        codes[:, :2] = 10 + np.stack(divmod(np.arange(len(codes)), 80), 1)
+        y = rng.permutation(np.repeat(np.array([1, 0], np.float32), [positives, negatives]))
+        made = np.full((4, secrets.LENGTH), 5, np.int16), np.array([0, 1, 0, 1], np.float32)
+        seen = []
+        monkeypatch.setattr(secrets.CharNet, "_gradients", lambda self, c, y, w: seen.append((c, y, w)) or {})
+        assert secrets.CharNet().learn([(codes, y)], made, 0.01) == len(y)
+        got = {(*c[:2], label) for cs, ys, _ in seen for c, label in zip(cs, ys)}
+        assert got >= {(*c[:2], label) for c, label in zip(codes, y)}
+        for _, ys, w in seen:
+            if positives > 1 and negatives > 1:
+                assert abs(w[ys == 1].sum() - w[ys == 0].sum()) < 1e-3
+
+
+def test_short_findings_without_their_padding():
+    texts = ["see abcdefghij here", "abcdefghijklmnop", "x abcdefghijklmnopq", "two  " + "a1" * 28, "ends with abcdefghijk"]
+    codes = np.concatenate([secrets.window_rows(t, [(a, len(t) - b)]) for t in texts for a, b in ((0, 0), (4, 1))])
+    net = secrets.CharNet()
+    net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
+    net.w["bias"] = np.random.default_rng(1).normal(0, 0.3, net.FILTERS)
+    whole = net._forward(codes)[3]
+    assert np.allclose(net.logits(codes), whole)
+    y, weight = (np.arange(len(codes)) % 2).astype(np.float32), np.ones(len(codes))
+    cut, all_steps = net._gradients(codes, y, weight), net._sums(codes, y, weight / len(y))
+    assert all(np.allclose(cut[k], all_steps[k]) for k in cut)
+
+
+def test_threshold_reaches_the_recall_in_each_group():
+    rng = np.random.default_rng(4)
+    groups = []
+    for shift, n in ((2.0, 5000), (-1.0, 100)):
+        y = (np.arange(n) % 2).astype(np.float32)
+        groups.append((rng.normal(shift * y, 0.5), y, rng.integers(1, 4, n).astype(float)))
+    net = secrets.CharNet()
+    net.settle(groups, 0.98)
+    reached = [n[(y == 1) & (net.score_of(z) >= net.threshold)].sum() / n[y == 1].sum() for z, y, n in groups]
+    assert min(reached) >= 0.98 and abs(net.recall - min(reached)) < 1e-9
