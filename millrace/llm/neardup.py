@@ -100,23 +100,30 @@ def index_keys():
 SEVENS, EIGHTS = 0x7F7F7F7F7F7F, 0x808080808080
 
 
-def shared_before(number):
-    """Whether rows x and y share a key with a smaller number than this one, which they share.
+def earlier(number, chunks):
+    """Columns of a member that tell whether a pair shares a key with a smaller number than its own.
 
-    The marks of a chunk have one bit for each place that differs.  An earlier chunk with at
-    most one mark has a common key; in the own chunk the first key is the first common one
-    unless a place differs, and then there is no other.
+    ``before`` has the chunks before the number's own; any with at most one place that differs
+    has a common key.  ``mine`` is the own chunk unless its first place is the one left out: if
+    two members agree in all of it, its first key is the first common one.
     """
-    def marks(chunk: int):
-        differ = F.col(f"x.c{chunk}").bitwiseXOR(F.col(f"y.c{chunk}"))
-        return (differ.bitwiseAND(SEVENS) + SEVENS).bitwiseOR(differ).bitwiseAND(EIGHTS)
+    chunk = F.floor(number / PER_CHUNK).cast("int")
+    mine = F.when(number % PER_CHUNK > 0, F.element_at(chunks, chunk + 1))
+    return F.slice(chunks, F.lit(1), chunk).alias("before"), mine.alias("mine")
 
-    out = F.lit(False)
-    for chunk in range(CHUNKS):
-        out = out | ((number >= (chunk + 1) * PER_CHUNK) & (F.bit_count(marks(chunk)) <= 1))
-        inside = (number > chunk * PER_CHUNK) & (number < (chunk + 1) * PER_CHUNK)
-        out = out | (inside & (marks(chunk) == 0))
-    return out
+
+def shared_before():
+    """Whether rows x and y, which share a key, share one with a smaller number.
+
+    Written over arrays, not as one term for each chunk: as terms, the join's loop became one
+    method whose compilation took 360 MB of each executor.
+    """
+    def close(a, b):
+        differ = a.bitwiseXOR(b)  # one mark for each place that differs
+        return F.bit_count((differ.bitwiseAND(SEVENS) + SEVENS).bitwiseOR(differ).bitwiseAND(EIGHTS)) <= 1
+
+    inside = F.coalesce(F.col("x.mine") == F.col("y.mine"), F.lit(False))
+    return inside | F.coalesce(F.exists(F.zip_with("x.before", "y.before", close), lambda c: c), F.lit(False))
 
 
 class Sets:
@@ -268,13 +275,13 @@ def remaining_pairs(members: DataFrame, nodes: DataFrame, outlines: DataFrame, c
     stands for a shingle that only one of them has.
     """
     known = checked.select(F.col("a").alias("node"), F.col("b").alias("first"), "both").distinct()
-    full = members.join(nodes.select("node", "n_shingles", *COLUMNS), "node").join(outlines, "node")
+    full = members.join(nodes.select("node", "n_shingles", F.array(*COLUMNS).alias("chunks")), "node").join(outlines, "node")
     full = full.join(known, ["node", "first"], "left")
     full = full.withColumn("both", F.when(F.col("node") == F.col("first"), F.col("n_shingles")).otherwise(F.col("both")))
     full = full.withColumn("inside", F.coalesce("both", "n_shingles")).withColumn("outside", F.coalesce(F.col("n_shingles") - F.col("both"), "n_shingles"))
-    # None of these is null; saying so keeps the join's condition short enough to be compiled.
-    used = ["number", "node", "root", "n_shingles", "inside", "outside", *COLUMNS, *OUTLINE]
-    full = full.select("key", *[F.coalesce(c, F.lit(0)).alias(c) for c in used])
+    # None of these is null; saying so keeps the join's condition short.
+    used = ["node", "root", "n_shingles", "inside", "outside", *OUTLINE]
+    full = full.select("key", *earlier(F.col("number"), F.col("chunks")), *[F.coalesce(c, F.lit(0)).alias(c) for c in used])
     x, y = full.alias("x"), full.alias("y")
     sizes = F.col("x.n_shingles") + F.col("y.n_shingles")
     most = F.least("x.inside", "y.inside") + F.least("x.outside", "y.outside")
@@ -287,7 +294,7 @@ def remaining_pairs(members: DataFrame, nodes: DataFrame, outlines: DataFrame, c
         & (100 * most >= percent * (sizes - most))
         # With at most (sizes - apart) / 2 shingles in common, at least (sizes + apart) / 2 are in the union.
         & (100 * (sizes - apart) >= percent * (sizes + apart))
-        & ~shared_before(F.col("x.number"))
+        & ~shared_before()
     )
     pairs = x.join(y, fits).select(F.col("x.node").alias("node"), F.col("y.node").alias("b"))
     done = checked.select(F.least("a", "b").alias("node"), F.greatest("a", "b").alias("b")).distinct()

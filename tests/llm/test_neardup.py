@@ -1,9 +1,11 @@
 """Near-duplicates against all pairs of a small table."""
 
 import random
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import neardup
 from millrace.llm.components import components
@@ -82,6 +84,51 @@ def test_keys_meet_all_close_signatures():
         assert ((chunks(a) != chunks(b)).sum(1) <= 1).any()
 
 
+def test_a_pair_is_made_at_the_first_key_that_it_shares(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(120):
+        a = [[rng.randrange(256) for _ in range(neardup.PER_CHUNK)] for _ in range(neardup.CHUNKS)]
+        b = [list(c) for c in a]
+        for c in b:
+            for place in rng.sample(range(neardup.PER_CHUNK), rng.choice([0, 1, 1, 2, 3])):
+                c[place] = (c[place] + rng.choice([1, 128, 255])) % 256
+        code = lambda s: [sum(v << 8 * p for p, v in enumerate(c)) for c in s]
+        shared = [
+            neardup.PER_CHUNK * c + p
+            for c in range(neardup.CHUNKS)
+            for p in range(neardup.PER_CHUNK)
+            if all(a[c][q] == b[c][q] for q in range(neardup.PER_CHUNK) if q != p)
+        ]
+        rows += [(i, number, code(a), code(b), number != shared[0]) for number in shared]
+    table = spark.createDataFrame(rows, "id int, number int, a array<long>, b array<long>, later boolean")
+    side = lambda c, name: table.select("id", "number", "later", *neardup.earlier(F.col("number"), F.col(c))).alias(name)
+    met = side("a", "x").join(side("b", "y"), ["id", "number"])
+    got = met.select(neardup.shared_before().alias("got"), F.col("x.later").alias("wanted")).collect()
+    assert len(got) == len(rows) and all(r.got == r.wanted for r in got)
+    assert {r.wanted for r in got} == {True, False}
+
+
+def test_join_of_remaining_pairs_is_compiled_in_small_methods(spark, capsys):
+    # As one method of 6,952 bytes, the join's loop took its compiler 360 MB of each executor.
+    numbers = lambda names: ", ".join(f"{c} long" for c in names)
+    members = spark.createDataFrame([], "key long, number int, node long, first long, root long")
+    nodes = spark.createDataFrame([], "node long, n_shingles long, " + numbers(neardup.COLUMNS))
+    outlines = spark.createDataFrame([], "node long, " + numbers(neardup.OUTLINE))
+    checked = spark.createDataFrame([], "a long, b long, both long, linked boolean")
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        neardup.remaining_pairs(members, nodes, outlines, checked, 80).explain("codegen")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 5000
+
+
 def test_star_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(40)] + [(100 + rng.randint(0, 60), 100 + rng.randint(0, 60)) for _ in range(50)] + [(500, 500)]
