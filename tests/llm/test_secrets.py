@@ -213,3 +213,55 @@ def test_threshold_reaches_the_recall_in_each_group():
     net.settle(groups, 0.98)
     reached = [n[(y == 1) & (net.score_of(z) >= net.threshold)].sum() / n[y == 1].sum() for z, y, n in groups]
     assert min(reached) >= 0.98 and abs(net.recall - min(reached)) < 1e-9
+
+
+def plain_sums(net, codes, y, weight):
+    """Gradients step by step, one finding after the other."""
+    w, half = net.w, net.WIDE // 2
+    embed = w["embed"].copy()
+    embed[0] = 0
+    g = {k: np.zeros_like(x) for k, x in w.items()}
+    first, last = secrets.BEFORE - half, secrets.LENGTH - secrets.AFTER - net.WIDE + 1 + half
+    for row, label, own in zip(codes, y, weight):
+        cols = np.stack([embed[row[i : i + net.WIDE]].ravel() for i in range(secrets.LENGTH - net.WIDE + 1)])
+        a = np.maximum(cols @ w["conv"] + w["bias"], 0)
+        halves = np.arange(first, last), np.r_[:first, last : len(a)]
+        pooled = np.concatenate([f(a[h], axis=0) for h in halves for f in (np.max, np.mean)])
+        d = (1 / (1 + np.exp(-(pooled @ w["out"] + w["zero"][0]))) - label) * own
+        g["out"] += d * pooled
+        g["zero"] += d
+        da = np.zeros_like(a)
+        for h, (top, mean) in zip(halves, w["out"].reshape(2, 2, -1)):
+            da[h] += d * mean / len(h)
+            da[h[a[h].argmax(0)], np.arange(net.FILTERS)] += d * top
+        da *= a > 0
+        g["conv"] += cols.T @ da
+        g["bias"] += da.sum(0)
+        for i, back in enumerate((da @ w["conv"].T).reshape(len(a), net.WIDE, net.DEEP)):
+            for code, x in zip(row[i : i + net.WIDE], back):
+                g["embed"][code] += x * (code > 0)
+    return g
+
+
+def test_gradients_are_those_of_plain_steps():
+    # Repeated characters: several steps reach a maximum together.
+    texts = ["see " + "ab" * 30 + " aaaaaaaaaaaaaa", "x " + "a" * 70, "the abcdabcdabcd the abcdabcdabcd", "key=" + "aB3dE5gH" * 5]
+    codes = np.concatenate([secrets.window_rows(t, [(4, len(t) - 3), (6, 18)]) for t in texts])
+    y, weight = (np.arange(len(codes)) % 2).astype(np.float32), np.linspace(0.5, 1.5, len(codes))
+    net = secrets.CharNet(3)
+    net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
+    net.w["bias"] = np.random.default_rng(1).normal(0, 0.3, net.FILTERS)
+    got, want = net._gradients(codes, y, weight * len(y)), plain_sums(net, codes, y, weight)
+    assert all(np.allclose(got[k], want[k]) for k in net.w)
+
+
+def test_tables_of_a_step_run_over_all_its_findings():
+    codes = np.random.default_rng(0).integers(1, 98, (150, secrets.LENGTH)).astype(np.int16)
+    codes[:146, secrets.BEFORE + secrets.SHORT : secrets.BEFORE + secrets.INSIDE] = 0
+    net = secrets.CharNet()
+    lots = list(net._by_length(codes))
+    assert sorted(i for rows, _ in lots for i in rows) == list(range(150))
+    assert sorted(len(rows) for rows, _ in lots) == [4, 48, 49, 49]  # no small rest, which costs nearly as much
+    for _, part in lots:
+        table = net._forward(part)[1]
+        assert table.shape == (part.shape[1] - net.WIDE + 1, len(part) * net.FILTERS) and table.flags.c_contiguous
